@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from branchwise.llm import quality, urlfilter
+from branchwise.llm import linededup, quality, sharding, tokencount, urlfilter, warc
 
 QUERIES = {
+    "op1_warc": warc.op1_warc,
     "op2_url_filter": urlfilter.op2_url_filter,
+    "op4_line_dedup": linededup.op4_line_dedup,
+    "op7_token_counts": tokencount.op7_token_counts,
+    "op8_sharding": sharding.op8_sharding,
     "op10_quality_rules": quality.op10_quality_rules,
 }
 ORACLE_SQL = {
     "op2_url_filter": urlfilter.ORACLE_SQL,
+    "op4_line_dedup": linededup.ORACLE_SQL,
     "op10_quality_rules": quality.ORACLE_SQL,
 }

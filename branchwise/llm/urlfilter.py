@@ -58,8 +58,7 @@ def judge(urls: DataFrame, rules: DataFrame, default: str = "allow", id_col: str
     prefixes = F.transform(F.filter("lengths", lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n))
     expanded = (
         pages.select("host", "path").distinct()
-        .crossJoin(F.broadcast(lengths))
-        .withColumn("labels", labels)
+        .withColumns({"lengths": lengths.scalar(), "labels": labels})
         .select("host", "path", F.explode(suffixes).alias("suffix"), prefixes.alias("prefixes"))
         .select("host", "path", "suffix", F.explode("prefixes").alias("prefix"))
         .select("host", "path", _digest(F.col("suffix"), F.col("prefix")).alias("own"))
