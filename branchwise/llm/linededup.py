@@ -14,6 +14,7 @@ from branchwise.llm.common import SPACES, need, shared_dir, table, text_key
 
 MIN_SITES = 10
 LG_K = 12
+SALTS = 16
 #: Four standard errors of a sketch of 2^12 registers.
 MARGIN = 0.065
 
@@ -33,7 +34,11 @@ def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     lines = need(docs, "source", "text").select("source", F.explode(_lines(F.col("text"))).alias("line")).select("source", *_hashed(F.col("line"))).where("full").drop("full")
     often = lines.groupBy("h1", "h2").agg(F.count("source").alias("n")).where(F.col("n") >= min_sites).drop("n")
     path = f"{shared_dir(spark, 'linededup')}/estimates"
-    lines.join(often, ["h1", "h2"]).groupBy("h1", "h2").agg(F.hll_sketch_estimate(F.hll_sketch_agg("source", F.lit(LG_K))).alias("sites")).write.parquet(path)
+    # A very common line is dealt over salts: sketches merge in two steps.
+    salted = often.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = lines.withColumn("salt", F.pmod(F.xxhash64(F.rand(7)), F.lit(SALTS)).cast("int")).join(salted, ["h1", "h2", "salt"])
+    partial = dealt.groupBy("h1", "h2", "salt").agg(F.hll_sketch_agg("source", F.lit(LG_K)).alias("sketch"))
+    partial.groupBy("h1", "h2").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("sites")).write.parquet(path)
     estimates = spark.read.parquet(path)
     width = max(1.0, MARGIN * min_sites)
     near = estimates.where(F.abs(F.col("sites") - min_sites) <= width).drop("sites")
@@ -48,23 +53,23 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame
     null text stays null, with n_lines 0. Equal rows are treated alike; other
     columns stay, but for columns named n_lines or n_removed, which are replaced.
     """
-    docs = docs.drop("n_lines", "n_removed").withColumn("_key", text_key(F.col("text")))
+    docs = docs.drop("n_lines", "n_removed").withColumn("_bw_key", text_key(F.col("text")))
     boiler = boilerplate(docs, min_sites)
     hits = (
-        docs.select("_key", F.posexplode(_lines(F.col("text"))).alias("at", "line"))
-        .select("_key", "at", *_hashed(F.col("line"))).where("full").drop("full")
+        docs.select("_bw_key", F.posexplode(_lines(F.col("text"))).alias("at", "line"))
+        .select("_bw_key", "at", *_hashed(F.col("line"))).where("full").drop("full")
         .join(boiler, ["h1", "h2"], "left_semi")
-        .select("_key", "at").distinct()
-        .groupBy("_key").agg(F.collect_list("at").alias("_gone"))
+        .select("_bw_key", "at").distinct()
+        .groupBy("_bw_key").agg(F.collect_list("at").alias("_bw_gone"))
     )
-    out = docs.join(hits, "_key", "left").withColumn("_lines", _lines(F.col("text")))
-    stay = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone")))
-    kept = F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n")
+    out = docs.join(hits, "_bw_key", "left").withColumn("_bw_lines", _lines(F.col("text")))
+    stay = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size("_bw_lines") - 1), F.col("_bw_gone")))
+    kept = F.array_join(F.transform(stay, lambda i: F.get("_bw_lines", i)), "\n")
     return out.withColumns({
-        "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).cast("long"),
-        "n_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
-        "text": F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept),
-    }).drop("_key", "_gone", "_lines")
+        "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size("_bw_lines")).cast("long"),
+        "n_removed": F.coalesce(F.size("_bw_gone"), F.lit(0)).cast("long"),
+        "text": F.when(F.col("_bw_gone").isNull(), F.col("text")).otherwise(kept),
+    }).drop("_bw_key", "_bw_gone", "_bw_lines")
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,37 +27,37 @@ SPREADS = {"symbol_ratio": 0.05, "dup_line_ratio": 0.2}
 def with_metrics(docs: DataFrame, repeats: bool = True) -> DataFrame:
     """docs with the columns of the base rules. A null text has no words and no lines."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    out = docs.withColumn("_words", F.regexp_extract_all(text, F.lit(f"[^{SPACES}]+"), 0)).withColumn(
-        "_lines", F.filter(F.split(text, "\n"), lambda x: F.regexp(x, F.lit(f"[^{SPACES}]")))
+    out = docs.withColumn("_bw_words", F.regexp_extract_all(text, F.lit(f"[^{SPACES}]+"), 0)).withColumn(
+        "_bw_lines", F.filter(F.split(text, "\n"), lambda x: F.regexp(x, F.lit(f"[^{SPACES}]")))
     )
     out = out.withColumns({
-        "n_words": F.size("_words").cast("long"),
-        "word_chars": F.length(F.array_join("_words", "")).cast("long"),
+        "n_words": F.size("_bw_words").cast("long"),
+        "word_chars": F.length(F.array_join("_bw_words", "")).cast("long"),
         "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("long"),
-        "n_lines": F.size("_lines").cast("long"),
-        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+        "n_lines": F.size("_bw_lines").cast("long"),
+        "n_dup_lines": (F.size("_bw_lines") - F.size(F.array_distinct("_bw_lines"))).cast("long"),
     })
     if repeats:
         out = _with_repeats(out)
-    return out.drop("_words", "_lines")
+    return out.drop("_bw_words", "_bw_lines")
 
 
 def _with_repeats(out: DataFrame) -> DataFrame:
-    n = F.size("_words") - (WINDOW - 1)
-    out = out.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
-    runs = F.arrays_zip(*[F.slice("_hashes", k + 1, F.greatest(n, F.lit(0))).alias(f"w{k}") for k in range(WINDOW)])
-    out = out.withColumn("_runs", F.transform(runs, lambda x: F.xxhash64(x)))
-    pairs = F.array_sort(F.transform("_runs", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    out = out.withColumn("_pairs", F.when(F.size("_runs") > F.size(F.array_distinct("_runs")), pairs))
+    n = F.size("_bw_words") - (WINDOW - 1)
+    out = out.withColumn("_bw_hashes", F.transform("_bw_words", lambda w: F.xxhash64(w)))
+    runs = F.arrays_zip(*[F.slice("_bw_hashes", k + 1, F.greatest(n, F.lit(0))).alias(f"w{k}") for k in range(WINDOW)])
+    out = out.withColumn("_bw_runs", F.transform(runs, lambda x: F.xxhash64(x)))
+    pairs = F.array_sort(F.transform("_bw_runs", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    out = out.withColumn("_bw_pairs", F.when(F.size("_bw_runs") > F.size(F.array_distinct("_bw_runs")), pairs))
     both = F.filter(
-        F.zip_with(F.slice("_pairs", 1, F.size("_pairs") - 1), F.slice("_pairs", 2, F.size("_pairs")), lambda a, b: F.when(a["h"] == b["h"], F.struct(a["i"].alias("a"), b["i"].alias("b")))),
+        F.zip_with(F.slice("_bw_pairs", 1, F.size("_bw_pairs") - 1), F.slice("_bw_pairs", 2, F.size("_bw_pairs")), lambda a, b: F.when(a["h"] == b["h"], F.struct(a["i"].alias("a"), b["i"].alias("b")))),
         lambda x: x.isNotNull(),
     )
-    out = out.withColumn("_both", both)
-    out = out.withColumn("_at", F.array_sort(F.array_union(F.col("_both.a"), F.col("_both.b"))))
-    gaps = F.zip_with("_at", F.slice("_at", 2, F.size("_at")), lambda a, b: F.coalesce(F.least(b - a, F.lit(WINDOW)), F.lit(WINDOW)))
+    out = out.withColumn("_bw_both", both)
+    out = out.withColumn("_bw_at", F.array_sort(F.array_union(F.col("_bw_both.a"), F.col("_bw_both.b"))))
+    gaps = F.zip_with("_bw_at", F.slice("_bw_at", 2, F.size("_bw_at")), lambda a, b: F.coalesce(F.least(b - a, F.lit(WINDOW)), F.lit(WINDOW)))
     out = out.withColumn("n_repeat_words", F.coalesce(F.aggregate(gaps, F.lit(0), lambda s, x: s + x), F.lit(0)).cast("long"))
-    return out.drop("_hashes", "_runs", "_pairs", "_both", "_at")
+    return out.drop("_bw_hashes", "_bw_runs", "_bw_pairs", "_bw_both", "_bw_at")
 
 
 def _ratios() -> dict:
@@ -80,15 +80,15 @@ def judge(docs: DataFrame) -> DataFrame:
     Columns of these names in docs are replaced.
     """
     own = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *SPREADS, *[f"{k}_max" for k in SPREADS]]
-    limits = fences(docs).withColumnRenamed("lang", "_l").withColumnRenamed("source", "_s")
+    limits = fences(docs).withColumnRenamed("lang", "_bw_l").withColumnRenamed("source", "_bw_s")
     judged = with_metrics(docs.drop(*own)).withColumn(
         "base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     )
     # Few groups: AQE broadcasts them where their measured size allows, and else splits skewed sources.
-    judged = judged.join(limits, F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")), "left")
+    judged = judged.join(limits, F.col("lang").eqNullSafe(F.col("_bw_l")) & F.col("source").eqNullSafe(F.col("_bw_s")), "left")
     ratios = _ratios()
     within = [ratios[k] <= F.coalesce(F.col(f"{k}_max"), F.lit(float("inf"))) for k in SPREADS]
-    return judged.withColumn("kept", ~F.col("base_failed") & within[0] & within[1]).drop("_l", "_s", "n_lines", *[f"{k}_max" for k in SPREADS])
+    return judged.withColumn("kept", ~F.col("base_failed") & within[0] & within[1]).drop("_bw_l", "_bw_s", "n_lines", *[f"{k}_max" for k in SPREADS])
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

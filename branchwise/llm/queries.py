@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from branchwise.llm import linededup, quality, sharding, tokencount, urlfilter, warc
+from branchwise.llm import decontam, linededup, mixing, neardup, quality, sharding, tokencount, urlfilter, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_url_filter": urlfilter.op2_url_filter,
+    "op3_decontamination": decontam.op3_decontamination,
     "op4_line_dedup": linededup.op4_line_dedup,
+    "op5_mixing": mixing.op5_mixing,
+    "op6_minhash_near_dedup": neardup.op6_minhash_near_dedup,
     "op7_token_counts": tokencount.op7_token_counts,
     "op8_sharding": sharding.op8_sharding,
     "op10_quality_rules": quality.op10_quality_rules,

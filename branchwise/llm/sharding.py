@@ -125,7 +125,7 @@ class ShardStore:
         return self._read(now, now["runs"])
 
 
-def shard(docs: DataFrame, arrivals: int = 16, target_bytes: int = 512 << 20, base_bytes: int = 4 << 20, fanout: int = 4) -> DataFrame:
+def shard(docs: DataFrame, arrivals: int = 16, target_bytes: int = 128 << 20, base_bytes: int = 4 << 20, fanout: int = 4) -> DataFrame:
     """docs, read back through the last manifest, with shard (run/part), tier and version.
 
     Rows, nulls and repeats come back as they were; an empty table gives an
