@@ -4,9 +4,50 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from branchwise.llm import decontam, mixing, neardup, quality, sharding
+from branchwise.llm.common import shared_dir, table
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts that the base rules or the fences reject go."""
+    return quality.judge(docs).where("kept").select(docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates the document with the smallest id stays."""
+    return neardup.drop_near_duplicates(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents appear as often as the fitted rates say."""
+    return mixing.mix(docs, table(spark, sf_dir, "labels"))
+
+
+def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The corpus in compacted shards, read back through the manifest."""
+    return sharding.shard(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("minhash_near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("mixing", mixing_weights),
+    ("sharding", shards),
+]
+#: Sketches, MinHash, seeds and fitted rates have no SQL; tests hold stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs, root = table(spark, sf_dir, "documents"), shared_dir(spark, "pipeline")
+    for k, (name, stage) in enumerate(STAGES):
+        path = f"{root}/{k}-{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
