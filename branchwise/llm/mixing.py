@@ -25,7 +25,7 @@ DOMAINS = ("good", "low", "toxic")
 #: Share of the good domain's present words that each domain should have.
 TARGETS = {"good": 1.0, "low": 0.02, "toxic": 0.0}
 #: The classifier sees at most this many labelled rows, those with the smallest hash of doc_id.
-MAX_LABELLED = 10_000
+MAX_LABELLED = 3_000
 EPOCHS, STEP, STEPS = 200, 1 << 21, 30
 #: A word counts if it is this many standard errors too frequent in some class, in at least LEAST texts.
 SCREEN, LEAST, MOST_WORDS = 4.0, 3, 50_000

@@ -122,6 +122,13 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
+def _led(buckets: DataFrame) -> DataFrame:
+    """(bucket, key, leader) of buckets of two and more, without the leaders; each bucket orders keys in its own way."""
+    turn = F.struct(F.xxhash64("key", "bucket").alias("t"), F.col("key").alias("k"))
+    heads = buckets.groupBy("bucket").agg(F.min(turn).alias("h"), F.count("*").alias("n")).where("n > 1").select("bucket", F.col("h.k").alias("leader"))
+    return buckets.join(heads, "bucket").where("key <> leader")
+
+
 def _agreement(a, b):
     """Share of equal 16-bit register values."""
     parts = lambda c: F.transform(F.sequence(F.lit(0), F.lit(BANDS * ROWS - 1)), lambda i: F.substring(c, 2 * i + 1, F.lit(2)))
@@ -140,8 +147,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     keyed = need(docs, "doc_id", "text").withColumn("key", F.when(F.regexp("text", F.lit(_WORDED)), text_key(F.col("text"))))
     signed = written(keyed.where("key IS NOT NULL").select("key", "text").mapInPandas(_sign, "key binary, bands array<long>, registers binary").dropDuplicates(["key"]), "signatures")
     buckets = signed.select("key", F.explode("bands").alias("bucket"))
-    heads = buckets.groupBy("bucket").agg(F.min("key").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = written(buckets.join(heads, "bucket").where("key <> leader"), "members")
+    members = written(_led(buckets), "members")
 
     wanted = members.select("key").unionByName(members.select(F.col("leader").alias("key"))).distinct()
     texts = written(keyed.select("key", "text").join(wanted, "key", "left_semi").dropDuplicates(["key"]), "texts")
@@ -152,6 +158,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         return written(with_b.select("a", "b", "text_a", "text_b").mapInPandas(_verify, "a binary, b binary, similarity double"), "verified")
 
     links, rounds = None, []
+    split = signed.select("key", "bands")
     while True:
         tested = verified(members.select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct())
         good = tested.where(F.col("similarity") >= threshold).select("a", "b")
@@ -159,8 +166,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         judged = members.join(tested.toDF("leader", "key", "similarity"), ["leader", "key"])
         rounds.append(judged)
         rest = judged.where(F.col("similarity") < threshold).select("bucket", "key")
-        heads = rest.groupBy("bucket").agg(F.min("key").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
-        members = written(rest.join(heads, "bucket").where("key <> leader"), "members")
+        if len(rounds) == 1:
+            # Many texts may share one band through a common passage: from here on they must share two.
+            # At the threshold, a pair with one equal band lacks a second with a chance of 7 in 100,000.
+            rest = rest.join(split, "key").select("key", "bucket", F.explode("bands").alias("band")).where("band <> bucket").select(F.xxhash64("bucket", "band").alias("bucket"), "key")
+        members = written(_led(rest), "members")
         if members.isEmpty():
             break
     roots = components(links)
@@ -169,7 +179,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     slim = signed.select("key", "registers")
     for judged in rounds:
         named = judged.join(roots, "key", "left").select("bucket", "leader", "key", "similarity", F.coalesce("root", "key").alias("root"))
-        edge = named.where((F.col("similarity") < threshold) & (F.col("similarity") >= 1 - 2 * far))
+        named = named.join(roots.toDF("leader", "led"), "leader", "left").withColumn("led", F.coalesce("led", "leader"))
+        # All linked members are in the leader's class already.
+        edge = written(named.where((F.col("similarity") < threshold) & (F.col("similarity") >= 1 - 2 * far) & (F.col("root") != F.col("led"))), "edge")
         if edge.isEmpty():
             continue
         near = named.where(F.col("similarity") >= threshold)
