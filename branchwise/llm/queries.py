@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from branchwise.llm import decontam, linededup, mixing, neardup, quality, sharding, tokencount, urlfilter, warc
+from branchwise.llm import decontam, linededup, mixing, neardup, quality, repeats, sharding, tokencount, urlfilter, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_minhash_near_dedup": neardup.op6_minhash_near_dedup,
     "op7_token_counts": tokencount.op7_token_counts,
     "op8_sharding": sharding.op8_sharding,
+    "op9_suffix_dedup": repeats.op9_suffix_dedup,
     "op10_quality_rules": quality.op10_quality_rules,
 }
 ORACLE_SQL = {
