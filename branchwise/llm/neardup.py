@@ -8,7 +8,8 @@ similarity J_P as their chance.
 
 Equal texts are one node. Bands of registers make buckets; a bucket's members
 are verified against its leader, never all against all. Those too far from the
-leader form a bucket of their own with a next leader. 1 - J_P is a metric, so
+leader, and not of its class by other links, form a bucket of their own with a
+next leader. 1 - J_P is a metric, so
 a member of that rest can only match one that is linked to the leader if their
 distances to it differ by at most the limit: just such pairs of different
 classes whose registers agree enough are verified too.
@@ -129,6 +130,12 @@ def _led(buckets: DataFrame) -> DataFrame:
     return buckets.join(heads, "bucket").where("key <> leader")
 
 
+def _named(judged: DataFrame, roots: DataFrame) -> DataFrame:
+    """judged with the classes of key (root) and leader (led)."""
+    named = judged.join(roots, "key", "left").select("bucket", "leader", "key", "similarity", F.coalesce("root", "key").alias("root"))
+    return named.join(roots.toDF("leader", "led"), "leader", "left").withColumn("led", F.coalesce("led", "leader"))
+
+
 def _agreement(a, b):
     """Share of equal 16-bit register values."""
     parts = lambda c: F.transform(F.sequence(F.lit(0), F.lit(BANDS * ROWS - 1)), lambda i: F.substring(c, 2 * i + 1, F.lit(2)))
@@ -165,7 +172,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         links = good if links is None else links.unionByName(good)
         judged = members.join(tested.toDF("leader", "key", "similarity"), ["leader", "key"])
         rounds.append(judged)
-        rest = judged.where(F.col("similarity") < threshold).select("bucket", "key")
+        # Whoever is in the leader's class by now, by whatever chain, needs no further test against it.
+        rest = _named(judged, components(links)).where("root <> led").select("bucket", "key")
         if len(rounds) == 1:
             # Many texts may share one band through a common passage: from here on they must share two.
             # At the threshold, a pair with one equal band lacks a second with a chance of 7 in 100,000.
@@ -178,15 +186,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # What a leader could not rule out: linked x and unlinked y of a bucket, in different classes.
     slim = signed.select("key", "registers")
     for judged in rounds:
-        named = judged.join(roots, "key", "left").select("bucket", "leader", "key", "similarity", F.coalesce("root", "key").alias("root"))
-        named = named.join(roots.toDF("leader", "led"), "leader", "left").withColumn("led", F.coalesce("led", "leader"))
-        # All linked members are in the leader's class already.
+        named = _named(judged, roots)
         edge = written(named.where((F.col("similarity") < threshold) & (F.col("similarity") >= 1 - 2 * far) & (F.col("root") != F.col("led"))), "edge")
         if edge.isEmpty():
             continue
-        near = named.where(F.col("similarity") >= threshold)
+        near = named.where("root = led")
         x, y = near.select("bucket", F.col("key").alias("a"), F.col("similarity").alias("sa"), F.col("root").alias("ra")), edge.select("bucket", F.col("key").alias("b"), F.col("similarity").alias("sb"), F.col("root").alias("rb"))
-        open_ = x.join(y, "bucket").where((F.col("sa") - F.col("sb") <= far) & (F.col("ra") != F.col("rb"))).select("a", "b").distinct()
+        open_ = x.join(y, "bucket").where((F.abs(F.col("sa") - F.col("sb")) <= far + 1e-9) & (F.col("ra") != F.col("rb"))).select("a", "b").distinct()
         open_ = open_.join(slim.toDF("a", "reg_a"), "a").join(slim.toDF("b", "reg_b"), "b")
         # Five standard errors below the threshold.
         slack = 5 * (threshold * far / (BANDS * ROWS)) ** 0.5
