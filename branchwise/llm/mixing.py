@@ -180,8 +180,11 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGET
     return scored.withColumn("rate", rate).withColumn("copies", copies(F.col("rate"), rounding, F.col("doc_id")))
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, rounding: str = "nearest") -> DataFrame:
-    """docs with each row as often as its rate says, by default to the nearest whole number; the columns stay."""
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, rounding: str = "nearest", keep: str | None = "good") -> DataFrame:
+    """docs with each row as often as its rate says, by default to the nearest whole number; the columns stay.
+
+    A row whose likeliest domain is `keep` stays at least once (None: no such rule).
+    """
     columns = docs.columns
     plain = docs.drop("n_tokens", "rate", *[f"p_{d}" for d in DOMAINS])
     if plain.columns != columns:
@@ -189,6 +192,9 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS,
     scored = written(posteriors(docs, classifier(docs, labels), *columns), "scored")
     rate, _ = fit_rates(scored, targets)
     times = copies(rate, rounding, F.col("doc_id"), F.col("text"))
+    if keep:
+        likeliest = F.col(f"p_{keep}") >= F.greatest(*[F.col(f"p_{d}") for d in DOMAINS])
+        times = F.when(likeliest, F.greatest(times, F.lit(1))).otherwise(times)
     return scored.withColumn("_bw_times", times).where("_bw_times > 0").withColumn("_bw_times", F.explode(F.array_repeat(F.lit(1), F.col("_bw_times")))).select(*columns)
 
 
