@@ -8,26 +8,28 @@ similarity J_P as their chance.
 
 Equal texts are one node. Bands of registers make buckets; a bucket's members
 are verified against its leader, never all against all. Those too far from the
-leader, and not of its class by other links, form a bucket of their own with a
-next leader. 1 - J_P is a metric, so
-a member of that rest can only match one that is linked to the leader if their
+leader, and not of its class by other links, form a bucket of their own with
+next leaders, a few at a time. 1 - J_P is a metric, so a member of that rest can only match one that is linked to the leader if their
 distances to it differ by at most the limit: just such pairs of different
 classes whose registers agree enough are verified too.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from branchwise.llm.common import need, table, text_key, written
 from branchwise.llm.words import mix, shingles, word_hashes
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 25, 5
+#: Leaders of a bucket in each round but the first.
+LEADERS = 6
 #: Bytes of text that one step of a Python worker takes.
 STEP = 1 << 21
 _WORDED = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
@@ -123,13 +125,22 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def _led(buckets: DataFrame) -> DataFrame:
-    """(bucket, key, leader) of buckets of two and more, without the leaders; each bucket orders keys in its own way."""
-    turn = F.struct(F.xxhash64("key", "bucket").alias("t"), F.col("key").alias("k"))
-    heads = buckets.groupBy("bucket").agg(F.min(turn).alias("h"), F.count("*").alias("n")).where("n > 1").select("bucket", F.col("h.k").alias("leader"))
+def _led(buckets: DataFrame, leaders: int = 1) -> DataFrame:
+    """(bucket, key, leader): all but the leader itself against each leader; a bucket orders keys in its own way."""
+    turn = F.xxhash64("key", "bucket")
+    if leaders == 1:
+        least = buckets.groupBy("bucket").agg(F.min(F.struct(turn.alias("t"), F.col("key").alias("k"))).alias("h"), F.count("*").alias("n"))
+        heads = least.where("n > 1").select("bucket", F.col("h.k").alias("leader"))
+    else:
+        place = F.row_number().over(Window.partitionBy("bucket").orderBy(turn, "key"))
+        heads = buckets.withColumn("place", place).where(F.col("place") <= leaders).select("bucket", F.col("key").alias("leader"))
     return buckets.join(heads, "bucket").where("key <> leader")
 
 
+def _pairs(members: DataFrame) -> DataFrame:
+    return members.withColumn("a", F.least("leader", "key")).withColumn("b", F.greatest("leader", "key"))
+
+
 def _named(judged: DataFrame, roots: DataFrame) -> DataFrame:
     """judged with the classes of key (root) and leader (led)."""
     named = judged.join(roots, "key", "left").select("bucket", "leader", "key", "similarity", F.coalesce("root", "key").alias("root"))
@@ -164,42 +175,44 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         with_b = with_a.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
         return written(with_b.select("a", "b", "text_a", "text_b").mapInPandas(_verify, "a binary, b binary, similarity double"), "verified")
 
-    links, rounds = None, []
+    links, tested, rounds = None, None, []
     split = signed.select("key", "bands")
     while True:
-        tested = verified(members.select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct())
-        good = tested.where(F.col("similarity") >= threshold).select("a", "b")
-        links = good if links is None else links.unionByName(good)
-        judged = members.join(tested.toDF("leader", "key", "similarity"), ["leader", "key"])
+        wanted = _pairs(members).select("a", "b").distinct()
+        new = verified(wanted if tested is None else wanted.join(tested, ["a", "b"], "left_anti"))
+        tested = new if tested is None else tested.unionByName(new)
+        links = tested.where(F.col("similarity") >= threshold).select("a", "b")
+        judged = _pairs(members).join(tested, ["a", "b"]).drop("a", "b")
         rounds.append(judged)
-        # Whoever is in the leader's class by now, by whatever chain, needs no further test against it.
-        rest = _named(judged, components(links)).where("root <> led").select("bucket", "key")
+        # Whoever is in a leader's class by now, by whatever chain, needs no further test in its bucket.
+        roots = components(links)
+        named = _named(judged, roots)
+        settled = named.groupBy("bucket", "key").agg(F.max(F.col("root") == F.col("led")).alias("in")).where("NOT in")
+        led = named.select("bucket", F.col("leader").alias("key")).distinct()
+        rest = settled.select("bucket", "key").join(led, ["bucket", "key"], "left_anti")
         if len(rounds) == 1:
             # Many texts may share one band through a common passage: from here on they must share two.
             # At the threshold, a pair with one equal band lacks a second with a chance of 7 in 100,000.
             rest = rest.join(split, "key").select("key", "bucket", F.explode("bands").alias("band")).where("band <> bucket").select(F.xxhash64("bucket", "band").alias("bucket"), "key")
-        members = written(_led(rest), "members")
+        members = written(_led(rest, LEADERS), "members")
         if members.isEmpty():
             break
-    roots = components(links)
 
-    # What a leader could not rule out: linked x and unlinked y of a bucket, in different classes.
-    slim = signed.select("key", "registers")
-    for judged in rounds:
-        named = _named(judged, roots)
-        edge = written(named.where((F.col("similarity") < threshold) & (F.col("similarity") >= 1 - 2 * far) & (F.col("root") != F.col("led"))), "edge")
-        if edge.isEmpty():
-            continue
-        near = named.where("root = led")
-        x, y = near.select("bucket", F.col("key").alias("a"), F.col("similarity").alias("sa"), F.col("root").alias("ra")), edge.select("bucket", F.col("key").alias("b"), F.col("similarity").alias("sb"), F.col("root").alias("rb"))
-        open_ = x.join(y, "bucket").where((F.abs(F.col("sa") - F.col("sb")) <= far + 1e-9) & (F.col("ra") != F.col("rb"))).select("a", "b").distinct()
+    # What a leader could not rule out: x of its class and y of another one, in one bucket.
+    named = _named(functools.reduce(DataFrame.unionByName, rounds), roots)
+    edge = written(named.where((F.col("similarity") < threshold) & (F.col("similarity") >= 1 - 2 * far) & (F.col("root") != F.col("led"))), "edge")
+    if not edge.isEmpty():
+        slim = signed.select("key", "registers")
+        x = named.where("root = led").select("bucket", "leader", F.col("key").alias("a"), F.col("similarity").alias("sa"), F.col("root").alias("ra"))
+        y = edge.select("bucket", "leader", F.col("key").alias("b"), F.col("similarity").alias("sb"), F.col("root").alias("rb"))
+        open_ = x.join(y, ["bucket", "leader"]).where((F.abs(F.col("sa") - F.col("sb")) <= far + 1e-9) & (F.col("ra") != F.col("rb"))).select("a", "b").distinct()
         open_ = open_.join(slim.toDF("a", "reg_a"), "a").join(slim.toDF("b", "reg_b"), "b")
         # Five standard errors below the threshold.
         slack = 5 * (threshold * far / (BANDS * ROWS)) ** 0.5
         open_ = open_.where(_agreement(F.col("reg_a"), F.col("reg_b")) >= threshold - slack).select("a", "b")
-        links = links.unionByName(verified(open_).where(F.col("similarity") >= threshold).select("a", "b"))
-    if len(rounds):
-        roots = components(links)
+        more = verified(open_).where(F.col("similarity") >= threshold).select("a", "b")
+        if not more.isEmpty():
+            roots = components(links.unionByName(more))
     placed = keyed.select("doc_id", "key").join(roots, "key", "left").select("doc_id", F.coalesce("root", "key").alias("root"))
     heads = placed.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n")).where("n > 1").drop("n")
     return placed.join(heads, "root", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
