@@ -182,7 +182,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         new = verified(wanted if tested is None else wanted.join(tested, ["a", "b"], "left_anti"))
         tested = new if tested is None else tested.unionByName(new)
         links = tested.where(F.col("similarity") >= threshold).select("a", "b")
-        judged = _pairs(members).join(tested, ["a", "b"]).drop("a", "b")
+        judged = written(_pairs(members).join(tested, ["a", "b"]).drop("a", "b"), "judged")
         rounds.append(judged)
         # Whoever is in a leader's class by now, by whatever chain, needs no further test in its bucket.
         roots = components(links)
@@ -194,7 +194,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             # Many texts may share one band through a common passage: from here on they must share two.
             # At the threshold, a pair with one equal band lacks a second with a chance of 7 in 100,000.
             rest = rest.join(split, "key").select("key", "bucket", F.explode("bands").alias("band")).where("band <> bucket").select(F.xxhash64("bucket", "band").alias("bucket"), "key")
-        members = written(_led(rest, LEADERS), "members")
+        members = written(_led(written(rest, "rest"), LEADERS), "members")
         if members.isEmpty():
             break
 
