@@ -21,14 +21,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from branchwise.llm.common import need, table, text_key, written
 from branchwise.llm.words import mix, shingles, word_hashes
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 25, 5
-#: Leaders of a bucket in each round but the first.
+#: Leaders of a bucket in the second round; twice as many in each further one.
 LEADERS = 6
 #: Bytes of text that one step of a Python worker takes.
 STEP = 1 << 21
@@ -68,6 +68,13 @@ def band_hashes(registers: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def packed(registers: np.ndarray) -> np.ndarray:
+    """The low four bits of each register, sixteen to a 64-bit word."""
+    low = np.zeros((len(registers), -(-registers.shape[1] // 16) * 16), np.uint64)
+    low[:, : registers.shape[1]] = registers & np.uint64(15)
+    return np.bitwise_or.reduce(low.reshape(len(registers), -1, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4)), 2).view(np.int64)
+
+
 def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Exact J_P of two weighted sets (sorted elements, weights)."""
     if not len(a[0]) or not len(b[0]):
@@ -95,7 +102,7 @@ def _sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         for part in _steps(frame, "text"):
             registers = signatures(list(part["text"]))
-            yield pd.DataFrame({"key": part["key"].to_numpy(), "bands": list(band_hashes(registers)), "registers": [r.astype(np.uint16).tobytes() for r in registers]})
+            yield pd.DataFrame({"key": part["key"].to_numpy(), "bands": list(band_hashes(registers)), "registers": list(packed(registers))})
 
 
 def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -143,14 +150,29 @@ def _pairs(members: DataFrame) -> DataFrame:
 
 def _named(judged: DataFrame, roots: DataFrame) -> DataFrame:
     """judged with the classes of key (root) and leader (led)."""
-    named = judged.join(roots, "key", "left").select("bucket", "leader", "key", "similarity", F.coalesce("root", "key").alias("root"))
+    named = judged.join(roots, "key", "left").select("bucket", "leader", "key", "similarity", "round", F.coalesce("root", "key").alias("root"))
     return named.join(roots.toDF("leader", "led"), "leader", "left").withColumn("led", F.coalesce("led", "leader"))
 
 
-def _agreement(a, b):
-    """Share of equal 16-bit register values."""
-    parts = lambda c: F.transform(F.sequence(F.lit(0), F.lit(BANDS * ROWS - 1)), lambda i: F.substring(c, 2 * i + 1, F.lit(2)))
-    return F.aggregate(F.zip_with(parts(a), parts(b), lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x) / F.lit(BANDS * ROWS)
+def _unequal(a: Column, b: Column) -> Column:
+    """Number of registers whose packed bits differ."""
+    def differ(i: int) -> Column:
+        x = a[i].bitwiseXOR(b[i])
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        return F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+
+    return functools.reduce(lambda s, x: s + x, [differ(i) for i in range(-(-BANDS * ROWS // 16))])
+
+
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """roots of the classes after further links, found on the graph of the classes."""
+    of = lambda c: F.coalesce(c, F.col("k")).alias("r")
+    ends = links
+    for side in ("a", "b"):
+        ends = ends.withColumnRenamed(side, "k").join(roots.toDF("k", "found"), "k", "left").withColumn(side, of(F.col("found"))).drop("k", "found")
+    merged = components(ends)
+    return written(roots.join(merged.toDF("root", "over"), "root", "left").select("key", F.coalesce("over", "root").alias("root")).unionByName(merged), "roots")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -163,7 +185,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     far = 1 - threshold
     keyed = need(docs, "doc_id", "text").withColumn("key", F.when(F.regexp("text", F.lit(_WORDED)), text_key(F.col("text"))))
-    signed = written(keyed.where("key IS NOT NULL").select("key", "text").mapInPandas(_sign, "key binary, bands array<long>, registers binary").dropDuplicates(["key"]), "signatures")
+    signed = written(keyed.where("key IS NOT NULL").select("key", "text").mapInPandas(_sign, "key binary, bands array<long>, registers array<long>").dropDuplicates(["key"]), "signatures")
     buckets = signed.select("key", F.explode("bands").alias("bucket"))
     members = written(_led(buckets), "members")
 
@@ -175,44 +197,52 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         with_b = with_a.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
         return written(with_b.select("a", "b", "text_a", "text_b").mapInPandas(_verify, "a binary, b binary, similarity double"), "verified")
 
-    links, tested, rounds = None, None, []
+    tested, later, roots, rounds = None, None, None, []
     split = signed.select("key", "bands")
     while True:
         wanted = _pairs(members).select("a", "b").distinct()
         new = verified(wanted if tested is None else wanted.join(tested, ["a", "b"], "left_anti"))
         tested = new if tested is None else tested.unionByName(new)
-        links = tested.where(F.col("similarity") >= threshold).select("a", "b")
-        judged = written(_pairs(members).join(tested, ["a", "b"]).drop("a", "b"), "judged")
+        links = new.where(F.col("similarity") >= threshold).select("a", "b")
+        later = links if later is None else later.unionByName(links)
+        judged = written(_pairs(members).join(tested, ["a", "b"]).drop("a", "b").withColumn("round", F.lit(len(rounds))), "judged")
         rounds.append(judged)
-        # Whoever is in a leader's class by now, by whatever chain, needs no further test in its bucket.
-        roots = components(links)
+        # Who is linked to a leader, by the first round's chains or at once, needs no further test in its bucket.
+        if roots is None:
+            roots, later = components(links), None
         named = _named(judged, roots)
-        settled = named.groupBy("bucket", "key").agg(F.max(F.col("root") == F.col("led")).alias("in")).where("NOT in")
+        settled = named.groupBy("bucket", "key").agg(F.max((F.col("root") == F.col("led")) | (F.col("similarity") >= threshold)).alias("in")).where("NOT in")
         led = named.select("bucket", F.col("leader").alias("key")).distinct()
         rest = settled.select("bucket", "key").join(led, ["bucket", "key"], "left_anti")
         if len(rounds) == 1:
             # Many texts may share one band through a common passage: from here on they must share two.
-            # At the threshold, a pair with one equal band lacks a second with a chance of 7 in 100,000.
+            # At the threshold, a pair has just one equal band with a chance of 6 in 10,000 (at 0.85, 1 in 100,000).
             rest = rest.join(split, "key").select("key", "bucket", F.explode("bands").alias("band")).where("band <> bucket").select(F.xxhash64("bucket", "band").alias("bucket"), "key")
-        members = written(_led(written(rest, "rest"), LEADERS), "members")
+        members = written(_led(written(rest, "rest"), LEADERS << len(rounds) - 1), "members")
         if members.isEmpty():
             break
 
+    if later is not None:
+        roots = _joined(roots, later)
+
     # What a leader could not rule out: x of its class and y of another one, in one bucket.
     named = _named(functools.reduce(DataFrame.unionByName, rounds), roots)
     edge = written(named.where((F.col("similarity") < threshold) & (F.col("similarity") >= 1 - 2 * far) & (F.col("root") != F.col("led"))), "edge")
     if not edge.isEmpty():
         slim = signed.select("key", "registers")
-        x = named.where("root = led").select("bucket", "leader", F.col("key").alias("a"), F.col("similarity").alias("sa"), F.col("root").alias("ra"))
-        y = edge.select("bucket", "leader", F.col("key").alias("b"), F.col("similarity").alias("sb"), F.col("root").alias("rb"))
-        open_ = x.join(y, ["bucket", "leader"]).where((F.abs(F.col("sa") - F.col("sb")) <= far + 1e-9) & (F.col("ra") != F.col("rb"))).select("a", "b").distinct()
-        open_ = open_.join(slim.toDF("a", "reg_a"), "a").join(slim.toDF("b", "reg_b"), "b")
-        # Five standard errors below the threshold.
-        slack = 5 * (threshold * far / (BANDS * ROWS)) ** 0.5
-        open_ = open_.where(_agreement(F.col("reg_a"), F.col("reg_b")) >= threshold - slack).select("a", "b")
+        # One leader of x is enough, of the first round that has one: y was there too, or left before and has x against its own.
+        own = F.min(F.struct("round", (-F.col("similarity")).alias("away"), "leader", "root")).alias("own")
+        x = named.where("root = led").groupBy("bucket", F.col("key").alias("a")).agg(own)
+        x = x.select("bucket", F.col("own.leader").alias("leader"), "a", (-F.col("own.away")).alias("sa"), F.col("own.root").alias("ra")).join(slim.toDF("a", "reg_a"), "a")
+        y = edge.select("bucket", "leader", F.col("key").alias("b"), F.col("similarity").alias("sb"), F.col("root").alias("rb")).join(slim.toDF("b", "reg_b"), "b")
+        # Four bits of a register differ with a chance of 15/16 of the distance: five standard deviations above that.
+        p, n = far * 15 / 16, BANDS * ROWS
+        most = n * p + 5 * (n * p * (1 - p)) ** 0.5
+        open_ = x.join(y, ["bucket", "leader"]).where((F.abs(F.col("sa") - F.col("sb")) <= far + 1e-9) & (F.col("ra") != F.col("rb")) & (_unequal(F.col("reg_a"), F.col("reg_b")) <= most))
+        open_ = open_.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
         more = verified(open_).where(F.col("similarity") >= threshold).select("a", "b")
         if not more.isEmpty():
-            roots = components(links.unionByName(more))
+            roots = _joined(roots, more)
     placed = keyed.select("doc_id", "key").join(roots, "key", "left").select("doc_id", F.coalesce("root", "key").alias("root"))
     heads = placed.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n")).where("n > 1").drop("n")
     return placed.join(heads, "root", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
