@@ -23,11 +23,28 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+#: Shuffle files go when the write that made them is over, not when the driver next collects its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """df, computed once, as a table in the shared folder: cuts lineage and survives lost executors."""
-    path = f"{shared_dir(df.sparkSession, purpose)}/table"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, f"{shared_dir(df.sparkSession, purpose)}/table"
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._bw_path = path
+    return out
+
+
+def spent(*tables: DataFrame) -> None:
+    """Deletes written tables that nothing reads any more."""
+    for t in tables:
+        delete(t.sparkSession, t._bw_path)
 
 
 def delete(spark: SparkSession, path: str) -> None:

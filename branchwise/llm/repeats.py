@@ -2,16 +2,17 @@
 
 Equal texts are one. Each 100-byte window has an anchor, the leftmost least
 hash of its ANCHOR-byte strings, so equal windows have equal anchors at equal
-offsets; successive windows with one anchor are a fragment. Fragments whose
-anchor occurs once cannot repeat and go no further. The others, equal ones
-merged, are dealt by anchor to bounded buckets. In a bucket the sorted suffixes
-of all fragments grow by one symbol a fragment and round: the next order is the
-stable sort of the last one by the symbols before its suffixes (its BWT), read
-and written front to back. Neighbours that agree in 100 bytes repeat, and all
-but the earliest are removed.
-
-Anchors that occur more than HOT times are cut to single windows, which the
-merge of equal fragments settles alone, so no bucket holds a hot anchor.
+offsets; successive windows with one anchor are a fragment. Fragments are first
+known by two 64-bit hashes, anchor and mark, and equal ones merge: all but the
+first are removed. Only anchors with several fragments can hide further
+repeats; the bytes of those fragments are dealt by anchor to bounded buckets.
+In a bucket the sorted suffixes of all fragments grow by one symbol a fragment
+and round: the next order is the stable sort of the last one by the symbols
+before its suffixes (its BWT), read and written front to back. Neighbours that
+agree in 100 bytes repeat, and all but the earliest are removed.
+
+Anchors with more than HOT fragments are cut to single windows, known by two
+hashes too, which merging settles alone, so no bucket holds a hot anchor.
 """
 
 from __future__ import annotations
@@ -23,13 +24,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from branchwise.llm.common import need, table, text_key, written
+from branchwise.llm.common import need, spent, table, text_key, written
 from branchwise.llm.words import mix, powers
 
 LENGTH, ANCHOR = 100, 24
 HOT, BUCKET = 1000, 4000
 PIECE = 1 << 20
-_TABLE = np.random.default_rng(11).integers(1, 2**63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+_TABLE, _MARKS = (np.random.default_rng(k).integers(1, 2**63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1) for k in (11, 13))
 
 
 def _sliding_least(v: np.ndarray, w: int) -> np.ndarray:
@@ -40,19 +41,37 @@ def _sliding_least(v: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[w - 1 : w - 1 + n])
 
 
-def fragments(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor, first window and number of windows of each fragment."""
+def _sums(part: np.ndarray, values: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(values[part] * powers(2 * PIECE)[0][: len(part)])])
+
+
+def _spans(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return mix((sums[ends] - sums[starts]) * powers(2 * PIECE)[1][starts] + (ends - starts).astype(np.uint64)).view(np.int64)
+
+
+def fragments(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor, mark, first window and number of windows of each fragment."""
     out = []
     for base in range(0, max(0, len(raw) - LENGTH + 1), PIECE):
         part = np.frombuffer(raw, np.uint8)[base : base + PIECE + LENGTH - 1]
-        up, down = powers(2 * PIECE)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_TABLE[part] * up[: len(part)])])
-        h = mix((sums[ANCHOR:] - sums[:-ANCHOR]) * down[: len(part) - ANCHOR + 1])
+        starts = np.arange(len(part) - ANCHOR + 1)
+        h = _spans(_sums(part, _TABLE), starts, starts + ANCHOR)
         low = np.uint64((1 << 21) - 1)
-        least = _sliding_least((h & ~low) | np.arange(len(h), dtype=np.uint64), LENGTH - ANCHOR + 1) & low
+        least = _sliding_least((h.view(np.uint64) & ~low) | starts.astype(np.uint64), LENGTH - ANCHOR + 1) & low
         first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-        out.append((h[least[first].astype(np.int64)].view(np.int64), first + base, np.diff(np.concatenate([first, [len(least)]]))))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.empty(0, np.int64),) * 3
+        ends = np.concatenate([first[1:], [len(least)]])
+        marks = _spans(_sums(part, _MARKS), first, ends + LENGTH - 1)
+        out.append((h[least[first].astype(np.int64)], marks, first + base, ends - first))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.empty(0, np.int64),) * 4
+
+
+def _first_in_text(anchor: np.ndarray, mark: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Whether each fragment is the first of its text that is equal to it."""
+    order = np.lexsort((start, mark, anchor))
+    a, m = anchor[order], mark[order]
+    out = np.empty(len(order), bool)
+    out[order] = np.concatenate([[True], (a[1:] != a[:-1]) | (m[1:] != m[:-1])])[: len(order)]
+    return out
 
 
 def suffix_order(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -91,59 +110,73 @@ def repeated_windows(strings: list[bytes], place: np.ndarray) -> list[np.ndarray
     return out
 
 
+def _runs(starts: np.ndarray) -> np.ndarray:
+    """Runs of successive windows as start << 8 | length."""
+    starts = np.sort(starts)
+    first = np.flatnonzero(np.concatenate([[True], np.diff(starts) != 1])[: len(starts)])
+    return starts[first] << 8 | np.diff(np.concatenate([first, [len(starts)]]))
+
+
 def _anchors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each text's fragments, equal ones once."""
     for frame in frames:
         for low in range(0, len(frame), 200):
-            part = frame.iloc[low : low + 200]
-            found = [fragments((t or "").encode()) for t in part["text"]]
-            sizes = [len(f[0]) for f in found]
-            yield pd.DataFrame({"id": np.repeat(part["id"].to_numpy(), sizes), "anchor": np.concatenate([f[0] for f in found]), "start": np.concatenate([f[1] for f in found]), "windows": np.concatenate([f[2] for f in found])})
+            part, ids, cols = frame.iloc[low : low + 200], [], []
+            for id_, text in zip(part["id"], part["text"], strict=True):
+                anchor, mark, start, n = fragments((text or "").encode())
+                first = _first_in_text(anchor, mark, start)
+                cols.append((anchor[first], mark[first], start[first] << 8 | n[first]))
+                ids.append(np.full(len(cols[-1][0]), id_, np.int64))
+            yield pd.DataFrame({"id": np.concatenate(ids), **{c: np.concatenate(v) for c, v in zip(("anchor", "mark", "at"), zip(*cols, strict=True), strict=True)}})
 
 
 def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The bytes of fragments; of hot ones, each window's."""
+    """The bytes of fragments; of hot ones, two hashes of each window."""
+    names = ["anchor", "mark", "bytes", "id", "start"]
     for frame in frames:
         rows = []
-        for id_, text, starts, windows, anchors, hot in zip(*[frame[c] for c in ("id", "text", "start", "windows", "anchor", "hot")], strict=True):
+        for id_, text, places, anchors, hot in zip(*[frame[c] for c in ("id", "text", "at", "anchor", "hot")], strict=True):
             raw = text.encode()
-            for s, n, a, h in zip(starts, windows, anchors, hot, strict=True):
-                rows += [(a, raw[k : k + LENGTH], id_, k) for k in range(s, s + n)] if h else [(a, raw[s : s + n + LENGTH - 1], id_, s)]
+            for at, a, h in zip(places, anchors, hot, strict=True):
+                s, n = int(at) >> 8, int(at) & 255
+                piece = raw[s : s + n + LENGTH - 1]
+                if h:
+                    part, k = np.frombuffer(piece, np.uint8), np.arange(n)
+                    one, two = (_spans(_sums(part, t), k, k + LENGTH) for t in (_TABLE, _MARKS))
+                    rows += [(x, y, None, id_, s + i) for i, (x, y) in enumerate(zip(one.tolist(), two.tolist(), strict=True))]
+                else:
+                    rows.append((a, None, piece, id_, s))
             if len(rows) > 20_000:
-                yield pd.DataFrame(rows, columns=["anchor", "bytes", "id", "start"])
+                yield pd.DataFrame(rows, columns=names).astype({"mark": "Int64"})
                 rows = []
         if rows:
-            yield pd.DataFrame(rows, columns=["anchor", "bytes", "id", "start"])
+            yield pd.DataFrame(rows, columns=names).astype({"mark": "Int64"})
 
 
 def _settle(frame: pd.DataFrame) -> pd.DataFrame:
-    found = repeated_windows([bytes(b) for b in frame["bytes"]], frame[["first_id", "first_start"]].to_numpy())
-    sizes = [len(f) for f in found]
-    return pd.DataFrame({"id": np.repeat(frame["first_id"].to_numpy(), sizes), "low": np.concatenate([np.empty(0, np.int64), *[f + s for f, s in zip(found, frame["first_start"], strict=True)]]), "n": 1}).astype("int64")
+    found = repeated_windows([bytes(b) for b in frame["bytes"]], frame[["id", "start"]].to_numpy())
+    runs = [_runs(f + s) for f, s in zip(found, frame["start"], strict=True)]
+    return pd.DataFrame({"id": np.repeat(frame["id"].to_numpy(), [len(r) for r in runs]), "at": np.concatenate([np.empty(0, np.int64), *runs])}).astype("int64")
 
 
 def _remove(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["doc_id", "key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "span_starts", "span_ends"]
     for frame in frames:
         rows = []
-        for key, text, copy, lows, counts in zip(*[frame[c] for c in ("key", "text", "copy", "low", "n")], strict=True):
+        for doc_id, key, text, places in zip(*[frame[c] for c in ("doc_id", "key", "text", "at")], strict=True):
             raw = (text or "").encode()
-            if copy:
-                spans = [(0, len(raw))] if len(raw) >= LENGTH else []
-            else:
-                spans = []
-                for low, n in sorted(zip(lows, counts, strict=True)) if lows is not None else []:
-                    high = low + n + LENGTH - 1
-                    if spans and low <= spans[-1][1]:
-                        spans[-1] = (spans[-1][0], max(high, spans[-1][1]))
-                    else:
-                        spans.append((int(low), int(high)))
-            left, at = [], 0
-            for low, high in spans:
-                left.append(raw[at:low])
-                at = high
-            left.append(raw[at:])
-            kept = b"".join(left)
-            rows.append((key, len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), [s[0] for s in spans], [s[1] for s in spans]))
-        yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "span_starts", "span_ends"])
+            anchor, mark, start, n = fragments(raw)
+            later = ~_first_in_text(anchor, mark, start)
+            gone = np.asarray([] if places is None else places, np.int64)
+            low = np.concatenate([start[later], gone >> 8])
+            high = np.concatenate([start[later] + n[later], (gone >> 8) + (gone & 255)]) + LENGTH - 1
+            order = np.argsort(low, kind="stable")
+            low, reach = low[order], np.maximum.accumulate(high[order])
+            first = np.flatnonzero(np.concatenate([[True], low[1:] > reach[:-1]])[: len(low)])
+            starts, ends = low[first], reach[np.concatenate([first[1:], [len(low)]]) - 1] if len(low) else low
+            kept = b"".join(raw[a:b] for a, b in zip([0, *ends.tolist()], [*starts.tolist(), len(raw)], strict=True))
+            rows.append((doc_id, key, len(raw), len(raw) - len(kept), len(starts), hashlib.sha256(kept).hexdigest(), starts, ends))
+        yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -151,31 +184,53 @@ def repeats(docs: DataFrame) -> DataFrame:
 
     A null text is empty. Rows that repeat an id and a text have equal results;
     of equal texts the smallest id stays, a missing id being the largest. Rows
-    with one id but different texts are one after the other in no set order.
-    Other columns are ignored.
+    with one id but different texts are one after the other by a hash of the
+    text. Other columns are ignored.
     """
     largest = F.lit(2**63 - 1)
-    base = need(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.col("doc_id").cast("long"), largest).alias("order"), text_key(F.col("text")).alias("key"))
-    firsts = base.groupBy("key").agg(F.min("order").alias("id"))
-    marked = base.join(firsts, "key").withColumn("copy", F.col("order") > F.col("id"))
-    alone = written(marked.where(~F.col("copy")).dropDuplicates(["id", "key"]).select("id", "text"), "texts")
-    anchored = alone.mapInPandas(_anchors, "id long, anchor long, start long, windows long")
-    often = anchored.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor", (F.col("c") > HOT).alias("hot"))
-    found = anchored.join(often, "anchor").groupBy("id").agg(*[F.collect_list(c).alias(c) for c in ("start", "windows", "anchor", "hot")])
-    cut = alone.join(found, "id").mapInPandas(_cut, "anchor long, bytes binary, id long, start long")
-    # Each occurrence but the first of equal fragments is removed; the firsts meet in buckets.
-    cut = written(cut, "fragments")
-    place = F.struct("id", "start")
-    merged = written(cut.groupBy("anchor", "bytes").agg(F.min(place).alias("first")).select("anchor", "bytes", F.col("first.id").alias("first_id"), F.col("first.start").alias("first_start")), "merged")
-    later = cut.join(merged, ["anchor", "bytes"]).where("id <> first_id OR start <> first_start").select("id", F.col("start").alias("low"), (F.octet_length("bytes") - LENGTH + 1).cast("long").alias("n"))
-    shared = merged.join(merged.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").drop("c"), "anchor").where(F.octet_length("bytes") > LENGTH)
-    singles = merged.where(F.octet_length("bytes") == LENGTH)
-    shared = shared.unionByName(singles.join(shared.select("anchor").distinct(), "anchor", "left_semi"))
+    doc_id = F.col("doc_id").cast("long")
+    base = need(docs, "doc_id", "text").select(doc_id.alias("doc_id"), "text", F.coalesce(doc_id, largest).alias("id"), text_key(F.col("text")).alias("key"))
+    rows = base.groupBy("key", "id").agg(F.count("*").alias("c"))
+    firsts = written(rows.groupBy("key").agg(F.min("id").alias("first"), F.max("c").alias("most")), "firsts")
+    again = not firsts.where("most > 1").isEmpty()
+    mixed = not firsts.groupBy("first").count().where("count > 1").isEmpty()
+    heads = base.join(firsts.select("key", F.col("first").alias("id")), ["key", "id"], "left_semi")
+    alone = heads.dropDuplicates(["key"]) if again else heads
+    if mixed:  # several texts with one id: places in the order of id and hash stand for ids
+        alone = alone.sort("id", "key").withColumn("id", F.monotonically_increasing_id())
+    alone = written(alone, "texts")
+
+    anchored = alone.mapInPandas(_anchors, "id long, anchor long, mark long, at long")
+    merged = written(anchored.groupBy("anchor", "mark").agg(F.min("id").alias("first"), F.min_by("at", "id").alias("at"), F.count("*").alias("c")), "merged")
+    several = merged.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor", (F.col("n") > HOT).alias("hot"))
+    listed = merged.join(several, "anchor").groupBy(F.col("first").alias("id")).agg(*[F.collect_list(c).alias(c) for c in ("at", "anchor", "hot")])
+    listed = written(listed, "listed")
+    cut = written(alone.select("id", "text").join(listed, "id").mapInPandas(_cut, "anchor long, mark long, bytes binary, id long, start long"), "fragments")
+    spent(listed)
+
+    later = anchored.join(merged.where("c > 1").select("anchor", "mark", "first"), ["anchor", "mark"]).where("id <> first").select("id", "at")
+    window, place = cut.where("bytes IS NULL"), F.struct("id", "start")
+    early = window.groupBy("anchor", "mark").agg(F.min(place).alias("early"), F.count("*").alias("c")).where("c > 1")
+    single = window.join(early, ["anchor", "mark"]).where(place != F.col("early")).select("id", (F.shiftleft("start", 8) + 1).alias("at"))
+    shared = cut.where("bytes IS NOT NULL")
     buckets = max(1, shared.count() // BUCKET)
-    settled = shared.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets))).groupBy("bucket").applyInPandas(_settle, "id long, low long, n long")
-    gone = later.unionByName(settled).groupBy("id").agg(F.collect_list("low").alias("low"), F.collect_list("n").alias("n"))
-    todo = marked.select("doc_id", "text", "copy", F.when(~F.col("copy"), F.col("id")).alias("id")).join(gone, "id", "left")
-    return todo.select(F.col("doc_id").alias("key"), "text", "copy", "low", "n").mapInPandas(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, span_starts array<long>, span_ends array<long>")
+    settled = shared.select("anchor", "bytes", "id", "start", F.pmod(F.xxhash64("anchor"), F.lit(buckets)).alias("bucket")).groupBy("bucket").applyInPandas(_settle, "id long, at long")
+    gone = written(later.unionByName(single).unionByName(settled).groupBy("id").agg(F.collect_list("at").alias("at")), "gone")
+    spent(merged, cut)
+
+    out = "doc_id long, key binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, span_starts array<long>, span_ends array<long>"
+    judged = alone.join(gone, "id", "left").select("doc_id", "key", "text", "at").mapInPandas(_remove, out)
+    if again:
+        judged = heads.select("doc_id", "key").join(judged.drop("doc_id"), "key").select(judged.columns)
+    # Copies lose all if they are long enough, else nothing.
+    n, long_ = F.octet_length("text").cast("long"), F.octet_length("text") >= LENGTH
+    copies = base.withColumn("text", F.coalesce("text", F.lit(""))).select(
+        "doc_id", "id", "key", n.alias("n_bytes"), F.when(long_, n).otherwise(0).alias("n_removed"), long_.cast("long").alias("n_spans"),
+        F.sha2(F.when(long_, "").otherwise(F.col("text")), 256).alias("kept_sha256"),
+        F.when(long_, F.array(F.lit(0).cast("long"))).otherwise(F.array().cast("array<long>")).alias("span_starts"), F.when(long_, F.array(n)).otherwise(F.array().cast("array<long>")).alias("span_ends"),
+    )
+    copies = copies.join(firsts.select("key", "first"), "key").where("id > first").select(judged.columns)
+    return judged.unionByName(copies).drop("key")
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

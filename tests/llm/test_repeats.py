@@ -45,3 +45,14 @@ def test_odd_rows(spark, odd_docs):
     assert len(got) == 10
     assert all(x.n_removed == x.n_bytes for x in got if x.doc_id == 2) and all(x.n_removed == 0 for x in got if x.doc_id in (1, 3, 4, 5))
     assert r.repeats(odd_docs.limit(0)).count() == 0
+
+
+def test_one_id_with_several_texts(spark):
+    """Each row is judged, whatever stands under its id; of two texts of one id one is the earlier."""
+    rng = random.Random(9)
+    a, b = ("".join(rng.choice("abcdefgh") for _ in range(300)) for _ in range(2))
+    rows = [(1, a + b), (1, b + a), (1, b + a), (None, a), (None, b), (0, "x")]
+    got = r.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 6
+    assert all(x.n_removed == 300 for x in got if x.doc_id is None)
+    assert sorted(x.n_removed > 0 for x in got if x.doc_id == 1) in ([False, False, True], [False, True, True])
