@@ -6,7 +6,8 @@ offsets; successive windows with one anchor are a fragment. Fragments are first
 known by two 64-bit hashes, anchor and mark, and equal ones merge: all but the
 first are removed. Only anchors with several fragments can hide further
 repeats; the bytes of those fragments are dealt by anchor to bounded buckets.
-In a bucket the sorted suffixes of all fragments grow by one symbol a fragment
+In a bucket, fragments that agree with no other near their anchor are left
+aside, and the sorted suffixes of the others grow by one symbol a fragment
 and round: the next order is the stable sort of the last one by the symbols
 before its suffixes (its BWT), read and written front to back. Neighbours that
 agree in 100 bytes repeat, and all but the earliest are removed.
@@ -42,11 +43,15 @@ def _sliding_least(v: np.ndarray, w: int) -> np.ndarray:
 
 
 def _sums(part: np.ndarray, values: np.ndarray) -> np.ndarray:
-    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(values[part] * powers(2 * PIECE)[0][: len(part)])])
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(values[part] * _powers(len(part))[0][: len(part)])])
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return powers(max(2 * PIECE, 1 << n.bit_length()))
 
 
 def _spans(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return mix((sums[ends] - sums[starts]) * powers(2 * PIECE)[1][starts] + (ends - starts).astype(np.uint64)).view(np.int64)
+    return mix((sums[ends] - sums[starts]) * _powers(len(sums))[1][starts] + (ends - starts).astype(np.uint64)).view(np.int64)
 
 
 def fragments(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -153,7 +158,29 @@ def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(rows, columns=names).astype({"mark": "Int64"})
 
 
+def _may_repeat(strings: list[bytes], anchors: np.ndarray) -> np.ndarray:
+    """Fragments that agree with another of their anchor in the anchor and the 38 bytes before it, or the 38 after.
+
+    A window holds 76 bytes beside its anchor, so at least 38 on one side:
+    fragments that agree with no other one share no window.
+    """
+    flat, lengths = np.frombuffer(b"".join(strings), np.uint8), np.array([len(s) for s in strings])
+    end = np.cumsum(lengths)
+    begin, side, at = end - lengths, (LENGTH - ANCHOR) // 2, np.arange(len(flat) - ANCHOR + 1)
+    hits = np.flatnonzero(_spans(_sums(flat, _TABLE), at, at + ANCHOR) == np.repeat(anchors, lengths)[: len(at)])
+    who, first = np.unique(np.searchsorted(end, hits, "right"), return_index=True)
+    assert len(who) == len(strings)
+    place, sums, out = hits[first], _sums(flat, _MARKS), np.zeros(len(strings), bool)
+    for low, high in ((place - side, place + ANCHOR), (place, place + ANCHOR + side)):
+        whole = np.flatnonzero((low >= begin) & (high <= end))
+        near = _spans(sums, low[whole], high[whole])
+        _, group, count = np.unique(mix(near.view(np.uint64) ^ mix(anchors[whole].view(np.uint64))), return_inverse=True, return_counts=True)
+        out[whole[count[group] > 1]] = True
+    return out
+
+
 def _settle(frame: pd.DataFrame) -> pd.DataFrame:
+    frame = frame[_may_repeat([bytes(b) for b in frame["bytes"]], frame["anchor"].to_numpy(np.int64))]
     found = repeated_windows([bytes(b) for b in frame["bytes"]], frame[["id", "start"]].to_numpy())
     runs = [_runs(f + s) for f, s in zip(found, frame["start"], strict=True)]
     return pd.DataFrame({"id": np.repeat(frame["id"].to_numpy(), [len(r) for r in runs]), "at": np.concatenate([np.empty(0, np.int64), *runs])}).astype("int64")
@@ -215,8 +242,10 @@ def repeats(docs: DataFrame) -> DataFrame:
     shared = cut.where("bytes IS NOT NULL")
     buckets = max(1, shared.count() // BUCKET)
     settled = shared.select("anchor", "bytes", "id", "start", F.pmod(F.xxhash64("anchor"), F.lit(buckets)).alias("bucket")).groupBy("bucket").applyInPandas(_settle, "id long, at long")
-    gone = written(later.unionByName(single).unionByName(settled).groupBy("id").agg(F.collect_list("at").alias("at")), "gone")
-    spent(merged, cut)
+    settled = written(single.unionByName(settled), "settled")
+    spent(cut)
+    gone = written(later.unionByName(settled).groupBy("id").agg(F.collect_list("at").alias("at")), "gone")
+    spent(merged, settled)
 
     out = "doc_id long, key binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, span_starts array<long>, span_ends array<long>"
     judged = alone.join(gone, "id", "left").select("doc_id", "key", "text", "at").mapInPandas(_remove, out)
