@@ -80,18 +80,20 @@ def _first_in_text(anchor: np.ndarray, mark: np.ndarray, start: np.ndarray) -> n
 
 
 def suffix_order(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(string, start) of all suffixes in order (shorter first; ties by string), a symbol a string each round."""
-    lengths = np.array([len(s) for s in strings])
-    flat, begin = np.frombuffer(b"".join(strings), np.uint8), np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    empty = np.arange(len(strings))
-    who, size = empty, np.zeros(len(strings), np.int64)
-    for _ in range(int(lengths.max(initial=0))):
-        more = size < lengths[who]
-        own, left = who[more], size[more]
-        before = flat[begin[own] + lengths[own] - left - 1]
+    """(string, start) of all suffixes in order (shorter first; ties by string), a symbol a string each round.
+
+    Strings are UTF-8, which has no byte 255: it stands before each string and ends its suffixes.
+    """
+    flat = np.frombuffer(b"".join(b"\xff" + s for s in strings), np.uint8)
+    ends = np.cumsum([len(s) + 1 for s in strings], dtype=np.int32)
+    at = ends
+    for _ in range(max(map(len, strings), default=0)):
+        at = at - np.int32(1)
+        before = flat[at]
         order = np.argsort(before, kind="stable")
-        who, size = np.concatenate([empty, own[order]]), np.concatenate([np.zeros(len(empty), np.int64), left[order] + 1])
-    return who, lengths[who] - size
+        at = np.concatenate([ends, at[order[: len(order) - np.count_nonzero(before == 255)]]])
+    who = np.searchsorted(ends, at)
+    return who, at - np.concatenate([[0], ends[:-1]])[: len(ends)].astype(np.int64)[who] - 1
 
 
 def repeated_windows(strings: list[bytes], place: np.ndarray) -> list[np.ndarray]:
@@ -159,19 +161,22 @@ def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _may_repeat(strings: list[bytes], anchors: np.ndarray) -> np.ndarray:
-    """Fragments that agree with another of their anchor in the anchor and the 38 bytes before it, or the 38 after.
+    """Fragments that agree with another of their anchor in 81 bytes about it, at one of four places.
 
-    A window holds 76 bytes beside its anchor, so at least 38 on one side:
-    fragments that agree with no other one share no window.
+    A window holds 76 bytes beside its anchor: 0 to 19, to 38, to 57 or to 76 of
+    them before it, and so all of one of the four places. Fragments that agree
+    with no other one share no window.
     """
     flat, lengths = np.frombuffer(b"".join(strings), np.uint8), np.array([len(s) for s in strings])
     end = np.cumsum(lengths)
-    begin, side, at = end - lengths, (LENGTH - ANCHOR) // 2, np.arange(len(flat) - ANCHOR + 1)
+    begin, at = end - lengths, np.arange(len(flat) - ANCHOR + 1)
     hits = np.flatnonzero(_spans(_sums(flat, _TABLE), at, at + ANCHOR) == np.repeat(anchors, lengths)[: len(at)])
     who, first = np.unique(np.searchsorted(end, hits, "right"), return_index=True)
     assert len(who) == len(strings)
     place, sums, out = hits[first], _sums(flat, _MARKS), np.zeros(len(strings), bool)
-    for low, high in ((place - side, place + ANCHOR), (place, place + ANCHOR + side)):
+    steps = np.linspace(0, LENGTH - ANCHOR, 5).astype(int)
+    for least, most in zip(steps[:-1], steps[1:], strict=True):
+        low, high = place - least, place + LENGTH - most
         whole = np.flatnonzero((low >= begin) & (high <= end))
         near = _spans(sums, low[whole], high[whole])
         _, group, count = np.unique(mix(near.view(np.uint64) ^ mix(anchors[whole].view(np.uint64))), return_inverse=True, return_counts=True)
@@ -181,6 +186,8 @@ def _may_repeat(strings: list[bytes], anchors: np.ndarray) -> np.ndarray:
 
 def _settle(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame[_may_repeat([bytes(b) for b in frame["bytes"]], frame["anchor"].to_numpy(np.int64))]
+    if frame.empty:
+        return pd.DataFrame({"id": [], "at": []}).astype("int64")
     found = repeated_windows([bytes(b) for b in frame["bytes"]], frame[["id", "start"]].to_numpy())
     runs = [_runs(f + s) for f, s in zip(found, frame["start"], strict=True)]
     return pd.DataFrame({"id": np.repeat(frame["id"].to_numpy(), [len(r) for r in runs]), "at": np.concatenate([np.empty(0, np.int64), *runs])}).astype("int64")
