@@ -1,15 +1,22 @@
 """Benchmark decontamination by spaced seeds.
 
-A mask selects WEIGHT of SPAN successive words; the others may differ. Masked
-hashes of every window of a text first meet a Bloom filter of the benchmark's
-(of fixed size, so it may go to every worker), then the hashes themselves in an
-equi-join. A hit fixes how text and item lie against each other; on that
-diagonal the item is compared word by word, and counts as leaked where the
-share of equal words reaches the threshold, so substitutions do not hide it.
+An item is cut into blocks of three words. As many substitutions as the
+threshold allows spoil at most one block each, and the blocks that stay whole
+are so many that two of them lie near each other: a seed is such a pair, a mask
+over the words between. No place of the substitutions escapes all seeds.
+
+Masked hashes of every window of a text first meet a Bloom filter of the
+benchmark's (of fixed size, so it may go to every worker), then the hashes
+themselves in an equi-join. A hit fixes how text and item lie against each
+other; on that diagonal the item is compared word by word, and counts as leaked
+where the share of equal words reaches the threshold.
 """
 
 from __future__ import annotations
 
+import functools
+import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,27 +26,45 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from branchwise.llm.common import need, table, text_key, written
 from branchwise.llm.words import mix, word_hashes
 
-#: 1: the word counts. Three masks of span 12 and weight 8; items of fewer words use whole windows of their length.
-MASKS = ("110110110101", "101011011011", "111100011011")
+#: Words of a block and blocks of a seed. Items of fewer than SPAN words use whole windows of their length.
+SHAPES = ((3, 2),)
 SPAN = 12
 THRESHOLD, MIN_WORDS = 0.8, 5
 FILTER_BITS = 1 << 23
 STEP = 1 << 21
 
 
-def masked(h: np.ndarray, mask: str) -> np.ndarray:
-    """Hash of each window of word hashes h under mask."""
-    n = max(0, len(h) - len(mask) + 1)
-    out = np.full(n, int(mask, 2), np.uint64)
-    for k, bit in enumerate(mask):
-        if bit == "1":
-            out = mix(out * np.uint64(0x100000001B3) + h[k : k + n])
-    return out
+def masked(h: np.ndarray, masks: list[str]) -> Iterator[np.ndarray]:
+    """For each mask (1: the word counts) the hash of each window of word hashes h under it."""
+    runs = [h]
+    for mask in masks:
+        n = max(0, len(h) - len(mask) + 1)
+        out = np.full(n, int(mask, 2), np.uint64)
+        for bit, places in itertools.groupby(range(len(mask)), mask.__getitem__):
+            if bit == "1":
+                first, *more = places
+                while len(runs) <= len(more):  # runs[k]: of k + 1 words
+                    runs.append(mix(runs[-1][: max(0, len(h) - len(runs))] * np.uint64(0x100000001B3) + h[len(runs) :]))
+                out = mix(out * np.uint64(0x100000001B3) + runs[len(more)][first : first + n])
+        yield out
 
 
-def masks_for(lengths: list[int]) -> list[str]:
-    """The masks, and a mask of ones for each item length below SPAN."""
-    return [*MASKS, *("1" * n for n in lengths)]
+@functools.lru_cache(4096)
+def masks_for(n: int, threshold: float) -> tuple[tuple[str, ...], int, int]:
+    """The masks of an item of n words, and size and number of its blocks; a mask begins where a block does.
+
+    Of b blocks at least u stay whole, which make u - 1 gaps of b - 1 blocks in
+    all. Some c successive ones so lie within (b - 1) // ((u - 1) // (c - 1)).
+    """
+    lost = n - math.ceil(threshold * n)
+    for size, c in SHAPES if n >= SPAN else ():
+        b = n // size
+        u = b - lost
+        if u >= c:
+            reach = (b - 1) // ((u - 1) // (c - 1))
+            places = itertools.combinations(range(1, reach + 1), c - 1)
+            return tuple("".join(("1" if k in (0, *p) else "0") * size for k in range(p[-1] + 1)) for p in places), size, b
+    return ("1" * n,), n, 1
 
 
 def _bits(h: np.ndarray) -> list[np.ndarray]:
@@ -60,13 +85,14 @@ def _items(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out[out["n_words"] >= MIN_WORDS]
 
 
-def _seeds(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _seeds(frames: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.DataFrame]:
     for frame in frames:
         for item, words in zip(frame["item_id"], frame["words"], strict=True):
             h = np.asarray(words, np.int64).view(np.uint64)
-            for mask in MASKS if len(h) >= SPAN else ["1" * len(h)]:
-                s = masked(h, mask)
-                yield pd.DataFrame({"seed": s.view(np.int64), "item_id": item, "item_at": np.arange(len(s))})
+            masks, size, b = masks_for(len(h), threshold)
+            for mask, s in zip(masks, masked(h, list(masks)), strict=True):
+                at = np.arange(0, size * (b - len(mask) // size) + 1, size)
+                yield pd.DataFrame({"seed": s[at].view(np.int64), "item_id": item, "item_at": at})
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -79,9 +105,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     reported. Other columns are ignored.
     """
     items = written(need(benchmark, "item_id", "text").where("item_id IS NOT NULL").mapInPandas(_items, "item_id long, words array<long>, n_words int").dropDuplicates(["item_id", "words"]), "items")
-    seeds = written(items.mapInPandas(_seeds, "seed long, item_id long, item_at int"), "seeds")
-    lengths = sorted(r[0] for r in items.where(F.col("n_words") < SPAN).select("n_words").distinct().collect())
-    widest = items.agg(F.max("n_words")).first()[0] or 0
+    seeds = written(items.mapInPandas(lambda frames: _seeds(frames, threshold), "seed long, item_id long, item_at int"), "seeds")
+    lengths = [r[0] for r in items.select("n_words").distinct().collect()]
+    masks, widest = sorted({m for n in lengths for m in masks_for(n, threshold)[0]}), max(lengths, default=0)
 
     def fill(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         field = np.zeros(FILTER_BITS, bool)
@@ -101,8 +127,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
             for part in _steps(frame):
                 hashes, bounds = word_hashes(list(part["text"]))
                 found = []
-                for mask in masks_for(lengths):
-                    s = masked(hashes, mask)
+                for mask, s in zip(masks, masked(hashes, masks), strict=True):
                     one, two = _bits(s)
                     at = np.flatnonzero(field[one] & field[two])
                     doc = np.searchsorted(bounds, at, "right") - 1
