@@ -3,7 +3,8 @@
 An item is cut into blocks of three words. As many substitutions as the
 threshold allows spoil at most one block each, and the blocks that stay whole
 are so many that two of them lie near each other: a seed is such a pair, a mask
-over the words between. No place of the substitutions escapes all seeds.
+over the words between. Short items have blocks of two words or one, and more
+to a seed. No place of the substitutions escapes all seeds.
 
 Masked hashes of every window of a text first meet a Bloom filter of the
 benchmark's (of fixed size, so it may go to every worker), then the hashes
@@ -26,9 +27,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from branchwise.llm.common import need, table, text_key, written
 from branchwise.llm.words import mix, word_hashes
 
-#: Words of a block and blocks of a seed. Items of fewer than SPAN words use whole windows of their length.
-SHAPES = ((3, 2),)
-SPAN = 12
+#: Words of a block and blocks of a seed; the first that an item's whole blocks suffice for, with at most MASKS masks.
+SHAPES = ((3, 2), (2, 3), (1, 6), (1, 5), (1, 4), (1, 3), (1, 2), (1, 1))
+MASKS = 16
 THRESHOLD, MIN_WORDS = 0.8, 5
 FILTER_BITS = 1 << 23
 STEP = 1 << 21
@@ -57,14 +58,15 @@ def masks_for(n: int, threshold: float) -> tuple[tuple[str, ...], int, int]:
     all. Some c successive ones so lie within (b - 1) // ((u - 1) // (c - 1)).
     """
     lost = n - math.ceil(threshold * n)
-    for size, c in SHAPES if n >= SPAN else ():
+    for size, c in SHAPES:
         b = n // size
         u = b - lost
         if u >= c:
-            reach = (b - 1) // ((u - 1) // (c - 1))
-            places = itertools.combinations(range(1, reach + 1), c - 1)
-            return tuple("".join(("1" if k in (0, *p) else "0") * size for k in range(p[-1] + 1)) for p in places), size, b
-    return ("1" * n,), n, 1
+            reach = (b - 1) // ((u - 1) // (c - 1)) if c > 1 else 0
+            if math.comb(reach, c - 1) <= MASKS:
+                places = [(0, *p) for p in itertools.combinations(range(1, reach + 1), c - 1)]
+                return tuple("".join(("1" if k in p else "0") * size for k in range(p[-1] + 1)) for p in places), size, b
+    raise ValueError("the threshold must be above 0")
 
 
 def _bits(h: np.ndarray) -> list[np.ndarray]:

@@ -1,3 +1,4 @@
+import itertools
 import math
 
 import numpy as np
@@ -30,3 +31,17 @@ def found(spark, items, docs):
 def test_substitutions_at_the_threshold_hide_no_item(spark):
     items, docs = substituted(np.random.default_rng(3), range(12, 61), 40)
     assert found(spark, items, docs) == {(d, i, m) for d, _, i, m in docs}
+
+
+def test_substitutions_hide_no_short_item(spark):
+    items, docs = substituted(np.random.default_rng(4), range(5, 12), 60)
+    assert found(spark, items, docs) == {(d, i, m) for d, _, i, m in docs}
+
+
+def test_each_set_of_places_leaves_a_seed():
+    for threshold, longest in ((0.8, 19), (0.6, 12), (0.9, 24), (1.0, 12)):
+        for n in range(5, longest + 1):
+            masks, size, b = decontam.masks_for(n, threshold)
+            seeds = [{at + k for k, bit in enumerate(m) if bit == "1"} for m in masks for at in range(0, size * b - len(m) + 1, size)]
+            for lost in itertools.combinations(range(n), n - math.ceil(threshold * n)):
+                assert any(s.isdisjoint(lost) for s in seeds), (threshold, n, lost)
