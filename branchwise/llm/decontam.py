@@ -16,6 +16,7 @@ where the share of equal words reaches the threshold.
 from __future__ import annotations
 
 import functools
+import hashlib
 import itertools
 import math
 from collections.abc import Iterator
@@ -83,18 +84,19 @@ def _items(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         hashes, bounds = word_hashes(list(frame["text"]))
         words = [hashes[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-        out = pd.DataFrame({"item_id": frame["item_id"].to_numpy(), "words": [w.view(np.int64) for w in words], "n_words": [len(w) for w in words]})
+        item = [hashlib.blake2b(w.tobytes(), digest_size=16).digest() for w in words]
+        out = pd.DataFrame({"text_key": frame["text_key"].to_numpy(), "item": item, "words": [w.view(np.int64) for w in words], "n_words": [len(w) for w in words]})
         yield out[out["n_words"] >= MIN_WORDS]
 
 
 def _seeds(frames: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        for item, words in zip(frame["item_id"], frame["words"], strict=True):
+        for item, words in zip(frame["item"], frame["words"], strict=True):
             h = np.asarray(words, np.int64).view(np.uint64)
             masks, size, b = masks_for(len(h), threshold)
             for mask, s in zip(masks, masked(h, list(masks)), strict=True):
                 at = np.arange(0, size * (b - len(mask) // size) + 1, size)
-                yield pd.DataFrame({"seed": s[at].view(np.int64), "item_id": item, "item_at": at})
+                yield pd.DataFrame({"seed": s[at].view(np.int64), "item": item, "item_at": at})
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -104,10 +106,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     the text's; start_word is where it begins (negative: before the text).
     Items of fewer than five words, null texts and texts without words never
     match. Equal texts and equal items are compared once each, and all are
-    reported. Other columns are ignored.
+    reported. Items with one id are one result, the best; each item without an
+    id is one of its own. Other columns are ignored.
     """
-    items = written(need(benchmark, "item_id", "text").where("item_id IS NOT NULL").mapInPandas(_items, "item_id long, words array<long>, n_words int").dropDuplicates(["item_id", "words"]), "items")
-    seeds = written(items.mapInPandas(lambda frames: _seeds(frames, threshold), "seed long, item_id long, item_at int"), "seeds")
+    named = need(benchmark, "item_id", "text").select(F.col("item_id").cast("long").alias("item_id"), "text", text_key(F.col("text")).alias("text_key")).where("text IS NOT NULL")
+    every = written(named.select("text_key", "text").dropDuplicates(["text_key"]).mapInPandas(_items, "text_key binary, item binary, words array<long>, n_words int"), "texts")
+    items = written(every.select("item", "words", "n_words").dropDuplicates(["item"]), "items")
+    ids = named.select("item_id", "text_key").join(every.select("text_key", "item"), "text_key").select("item_id", "item").distinct()
+    seeds = written(items.mapInPandas(lambda frames: _seeds(frames, threshold), "seed long, item binary, item_at int"), "seeds")
     lengths = [r[0] for r in items.select("n_words").distinct().collect()]
     masks, widest = sorted({m for n in lengths for m in masks_for(n, threshold)[0]}), max(lengths, default=0)
 
@@ -151,7 +157,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     keyed = need(docs, "text").select(text_key(F.col("text")).alias("key"), "text").where("text IS NOT NULL")
     stretches = written(keyed.mapInPandas(probe, "key binary, part int, first long, words array<long>, at array<long>, seeds array<long>"), "stretches")
     hits = stretches.select("key", "part", F.explode(F.arrays_zip("at", "seeds")).alias("h")).select("key", "part", F.col("h.at").alias("at"), F.col("h.seeds").alias("seed"))
-    lain = hits.join(seeds, "seed").select("key", "part", "item_id", (F.col("at") - F.col("item_at")).alias("start")).distinct()
+    lain = hits.join(seeds, "seed").select("key", "part", "item", (F.col("at") - F.col("item_at")).alias("start")).distinct()
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -160,11 +166,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
                 w, x, off = np.asarray(words), np.asarray(item), start - first
                 a, b = max(0, -off), min(len(x), len(w) - off)
                 matched.append(int((x[a:b] == w[a + off : b + off]).sum()) if b > a else 0)
-            yield frame[["key", "item_id", "n_words"]].assign(n_matched=matched, start_word=frame["start"])
+            yield frame[["key", "item", "n_words"]].assign(n_matched=matched, start_word=frame["start"])
 
-    held = lain.join(stretches.select("key", "part", "first", "words").dropDuplicates(["key", "part"]), ["key", "part"]).join(items.select("item_id", F.col("words").alias("item_words"), "n_words"), "item_id")
-    judged = held.mapInPandas(compare, "key binary, item_id long, n_words long, n_matched long, start_word long").where(F.col("n_matched") >= threshold * F.col("n_words"))
-    best = judged.groupBy("key", "item_id").agg(F.max(F.struct("n_matched", -F.col("start_word"), "n_words")).alias("b"))
+    held = lain.join(stretches.select("key", "part", "first", "words").dropDuplicates(["key", "part"]), ["key", "part"]).join(items.select("item", F.col("words").alias("item_words"), "n_words"), "item")
+    judged = held.mapInPandas(compare, "key binary, item binary, n_words long, n_matched long, start_word long").where(F.col("n_matched") >= threshold * F.col("n_words"))
+    nameless = F.when(F.col("item_id").isNull(), F.col("item")).alias("nameless")
+    best = judged.join(ids, "item").groupBy("key", "item_id", nameless).agg(F.max(F.struct("n_matched", -F.col("start_word"), "n_words")).alias("b"))
     return best.select("key", "item_id", F.col("b.n_words").alias("n_words"), F.col("b.n_matched").alias("n_matched"), (-F.col("b.col2")).alias("start_word"))
 
 

@@ -45,3 +45,14 @@ def test_each_set_of_places_leaves_a_seed():
             seeds = [{at + k for k, bit in enumerate(m) if bit == "1"} for m in masks for at in range(0, size * b - len(m) + 1, size)]
             for lost in itertools.combinations(range(n), n - math.ceil(threshold * n)):
                 assert any(s.isdisjoint(lost) for s in seeds), (threshold, n, lost)
+
+
+def test_items_without_an_id_are_found(spark):
+    texts = {k: " ".join(f"{k}{i}" for i in range(20)) for k in "abc"}
+    docs = [(1, f"x {texts['a']} y", None, 20), (2, f"x {texts['b']} {texts['c']} y", None, 20), (3, "x y", None, 0)]
+    items = [(None, texts["a"]), (None, texts["a"]), (None, texts["b"]), (None, texts["c"]), (2**60 + 1, texts["c"])]
+    assert found(spark, items, docs) == {(1, None, 20), (2, None, 20), (2, 2**60 + 1, 20)}
+    docs = spark.createDataFrame([d[:2] for d in docs], "doc_id long, text string")
+    items = spark.createDataFrame(items, "item_id long, text string")
+    assert decontam.contaminated(docs, items).count() == 4
+    assert [r.doc_id for r in decontam.decontaminate(docs, items).collect()] == [3]
