@@ -227,13 +227,17 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     # What a leader could not rule out: x of its class and y of another one, in one bucket.
     named = _named(functools.reduce(DataFrame.unionByName, rounds), roots)
-    edge = written(named.where((F.col("similarity") < threshold) & (F.col("similarity") >= 1 - 2 * far) & (F.col("root") != F.col("led"))), "edge")
+    # One leader of x is enough, of the first round that has one: y was there too, or left before and has x against its own.
+    own = F.min(F.struct("round", (-F.col("similarity")).alias("away"), "leader", "root")).alias("own")
+    x = named.where("root = led").groupBy("bucket", F.col("key").alias("a")).agg(own)
+    x = x.select("bucket", F.col("own.leader").alias("leader"), "a", (-F.col("own.away")).alias("sa"), F.col("own.root").alias("ra"))
+    # Chains put x in the leader's class at any distance, so y is ruled out by the farthest x alone.
+    reach = x.groupBy("bucket", "leader").agg(F.min("sa").alias("least"))
+    edge = named.where((F.col("similarity") < threshold) & (F.col("root") != F.col("led"))).join(reach, ["bucket", "leader"])
+    edge = written(edge.where(F.col("similarity") >= F.col("least") - far - 1e-9).drop("least"), "edge")
     if not edge.isEmpty():
         slim = signed.select("key", "registers")
-        # One leader of x is enough, of the first round that has one: y was there too, or left before and has x against its own.
-        own = F.min(F.struct("round", (-F.col("similarity")).alias("away"), "leader", "root")).alias("own")
-        x = named.where("root = led").groupBy("bucket", F.col("key").alias("a")).agg(own)
-        x = x.select("bucket", F.col("own.leader").alias("leader"), "a", (-F.col("own.away")).alias("sa"), F.col("own.root").alias("ra")).join(slim.toDF("a", "reg_a"), "a")
+        x = x.join(slim.toDF("a", "reg_a"), "a")
         y = edge.select("bucket", "leader", F.col("key").alias("b"), F.col("similarity").alias("sb"), F.col("root").alias("rb")).join(slim.toDF("b", "reg_b"), "b")
         # Four bits of a register differ with a chance of 15/16 of the distance: five standard deviations above that.
         p, n = far * 15 / 16, BANDS * ROWS

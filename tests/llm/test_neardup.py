@@ -74,3 +74,31 @@ def test_odd_rows(spark, odd_docs):
     assert kept.columns == odd_docs.columns
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 3, 4, 5, 6, 7]
     assert neardup.near_duplicates(odd_docs.limit(0)).count() == 0
+
+
+def classes_in_buckets(spark, monkeypatch, texts, bands, head):
+    """class_id of each text where its buckets are as given; head leads bucket 0."""
+    from pyspark.sql import functions as F
+
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    turns = frame.crossJoin(spark.range(200).toDF("bucket")).select("doc_id", "bucket", F.xxhash64(neardup.text_key(F.col("text")), "bucket").alias("turn")).toPandas()
+    least = turns[turns.doc_id.isin([k for k, b in enumerate(bands) if 0 in b])].sort_values("turn").drop_duplicates("bucket")
+    names = {0: int(least[least.doc_id == head].bucket.iloc[0])}
+    by_text = {t: [names.get(x, 1000 + x) for x in b] for t, b in zip(texts, bands, strict=True)}
+
+    def sign(frames, real=neardup._sign):
+        for f in frames:
+            f = f.reset_index(drop=True)
+            for part in real(iter([f])):
+                text = dict(zip([bytes(k) for k in f["key"]], f["text"], strict=True))
+                yield part.assign(bands=[by_text[text[bytes(k)]] for k in part["key"]])
+
+    monkeypatch.setattr(neardup, "_sign", sign)
+    return [r.class_id for r in neardup.near_duplicates(frame).orderBy("doc_id").collect()]
+
+
+def test_far_member_by_a_chain_keeps_its_links(spark, monkeypatch):
+    """x is at 0.64 of the leader and in its class through another bucket; y is at 0.51 of the leader and at 0.80 of x."""
+    words = [f"w{i}" for i in range(1400)]
+    texts = [" ".join(words[k * 109 : 1004 + k * 109]) for k in range(4)]
+    assert classes_in_buckets(spark, monkeypatch, texts, [[0], [0, 1], [0, 1], [0]], 0) == [0, 0, 0, 0]
