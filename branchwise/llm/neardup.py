@@ -198,7 +198,6 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         return written(with_b.select("a", "b", "text_a", "text_b").mapInPandas(_verify, "a binary, b binary, similarity double"), "verified")
 
     tested, later, roots, rounds = None, None, None, []
-    split = signed.select("key", "bands")
     while True:
         wanted = _pairs(members).select("a", "b").distinct()
         new = verified(wanted if tested is None else wanted.join(tested, ["a", "b"], "left_anti"))
@@ -214,10 +213,6 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         settled = named.groupBy("bucket", "key").agg(F.max((F.col("root") == F.col("led")) | (F.col("similarity") >= threshold)).alias("in")).where("NOT in")
         led = named.select("bucket", F.col("leader").alias("key")).distinct()
         rest = settled.select("bucket", "key").join(led, ["bucket", "key"], "left_anti")
-        if len(rounds) == 1:
-            # Many texts may share one band through a common passage: from here on they must share two.
-            # At the threshold, a pair has just one equal band with a chance of 6 in 10,000 (at 0.85, 1 in 100,000).
-            rest = rest.join(split, "key").select("key", "bucket", F.explode("bands").alias("band")).where("band <> bucket").select(F.xxhash64("bucket", "band").alias("bucket"), "key")
         members = written(_led(written(rest, "rest"), LEADERS << len(rounds) - 1), "members")
         if members.isEmpty():
             break

@@ -102,3 +102,9 @@ def test_far_member_by_a_chain_keeps_its_links(spark, monkeypatch):
     words = [f"w{i}" for i in range(1400)]
     texts = [" ".join(words[k * 109 : 1004 + k * 109]) for k in range(4)]
     assert classes_in_buckets(spark, monkeypatch, texts, [[0], [0, 1], [0, 1], [0]], 0) == [0, 0, 0, 0]
+
+
+def test_pair_with_one_common_band_behind_another_leader(spark, monkeypatch):
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(f"v{i}" for i in range(300)), " ".join(words[:300]), " ".join(words[10:310])]
+    assert classes_in_buckets(spark, monkeypatch, texts, [[0], [0, 1], [0, 2]], 0) == [0, 1, 1]
