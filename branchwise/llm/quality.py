@@ -5,9 +5,10 @@ words. Repeated five-word windows are found by sorting (hash, position) pairs,
 and only in texts whose windows are not all different.
 
 Fences: for each (lang, source), KLL sketches of two ratios (symbols a word,
-repeated lines a word-bearing line) of the texts that pass the base rules merge
-by aggregation; a text above q75 + reach * max(q75 - q25, least spread) of its
-group is rejected. The sketches see every text.
+repeated lines a word-bearing line) of the texts with at least MIN_WORDS words
+merge by aggregation, as in ORACLE_SQL: those that fail the repeat rule count
+too. A text above q75 + reach * max(q75 - q25, least spread) of its group is
+rejected. The sketches see every such text.
 """
 
 from __future__ import annotations
@@ -76,7 +77,7 @@ def judge(docs: DataFrame) -> DataFrame:
     """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept.
 
     Nulls: a null text has no words and fails. Repeated rows are judged alike.
-    A group without a text that passes has no fences: its texts failed already.
+    A group without a text of MIN_WORDS words has no fences: its texts failed already.
     Columns of these names in docs are replaced.
     """
     own = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *SPREADS, *[f"{k}_max" for k in SPREADS]]
