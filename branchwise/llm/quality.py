@@ -13,12 +13,14 @@ rejected. The sketches see every such text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable
 
-from branchwise.llm.common import SPACES, need, table
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from branchwise.llm.common import SPACES, need, table, written
 
 #: Fixed by the contract.
-SYMBOLS = "[#*$%&|<>]"
+SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 #: Of the fences: KLL's k, how many spreads above q75, the least spread of each ratio.
 SKETCH_K, REACH = 4096, 3.0
@@ -34,67 +36,93 @@ def with_metrics(docs: DataFrame, repeats: bool = True) -> DataFrame:
     out = out.withColumns({
         "n_words": F.size("_bw_words").cast("long"),
         "word_chars": F.length(F.array_join("_bw_words", "")).cast("long"),
-        "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("long"),
+        "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
         "n_lines": F.size("_bw_lines").cast("long"),
         "n_dup_lines": (F.size("_bw_lines") - F.size(F.array_distinct("_bw_lines"))).cast("long"),
+        **({"n_repeat_words": repeat_words(F.col("_bw_words")).cast("long")} if repeats else {}),
     })
-    if repeats:
-        out = _with_repeats(out)
     return out.drop("_bw_words", "_bw_lines")
 
 
-def _with_repeats(out: DataFrame) -> DataFrame:
-    n = F.size("_bw_words") - (WINDOW - 1)
-    out = out.withColumn("_bw_hashes", F.transform("_bw_words", lambda w: F.xxhash64(w)))
-    runs = F.arrays_zip(*[F.slice("_bw_hashes", k + 1, F.greatest(n, F.lit(0))).alias(f"w{k}") for k in range(WINDOW)])
-    out = out.withColumn("_bw_runs", F.transform(runs, lambda x: F.xxhash64(x)))
-    pairs = F.array_sort(F.transform("_bw_runs", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    out = out.withColumn("_bw_pairs", F.when(F.size("_bw_runs") > F.size(F.array_distinct("_bw_runs")), pairs))
-    both = F.filter(
-        F.zip_with(F.slice("_bw_pairs", 1, F.size("_bw_pairs") - 1), F.slice("_bw_pairs", 2, F.size("_bw_pairs")), lambda a, b: F.when(a["h"] == b["h"], F.struct(a["i"].alias("a"), b["i"].alias("b")))),
-        lambda x: x.isNotNull(),
-    )
-    out = out.withColumn("_bw_both", both)
-    out = out.withColumn("_bw_at", F.array_sort(F.array_union(F.col("_bw_both.a"), F.col("_bw_both.b"))))
-    gaps = F.zip_with("_bw_at", F.slice("_bw_at", 2, F.size("_bw_at")), lambda a, b: F.coalesce(F.least(b - a, F.lit(WINDOW)), F.lit(WINDOW)))
-    out = out.withColumn("n_repeat_words", F.coalesce(F.aggregate(gaps, F.lit(0), lambda s, x: s + x), F.lit(0)).cast("long"))
-    return out.drop("_bw_hashes", "_bw_runs", "_bw_pairs", "_bw_both", "_bw_at")
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of value, which is computed once and stands once in the plan, however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def repeat_words(words: Column) -> Column:
+    """Number of words in windows that stand twice or more; one expression, so that a filter above it copies it once."""
+
+    def runs(h: Column) -> Column:
+        n = F.greatest(F.size(h) - (WINDOW - 1), F.lit(0))
+        return F.transform(F.arrays_zip(*[F.slice(h, k + 1, n).alias(f"w{k}") for k in range(WINDOW)]), lambda x: F.xxhash64(x))
+
+    def places(p: Column) -> Column:
+        same = F.zip_with(F.slice(p, 1, F.size(p) - 1), F.slice(p, 2, F.size(p)), lambda a, b: F.when(a["h"] == b["h"], F.struct(a["i"].alias("a"), b["i"].alias("b"))))
+        return _let(F.filter(same, lambda x: x.isNotNull()), lambda b: F.array_sort(F.array_union(b["a"], b["b"])))
+
+    def covered(at: Column) -> Column:
+        gaps = F.zip_with(at, F.slice(at, 2, F.size(at)), lambda a, b: F.coalesce(F.least(b - a, F.lit(WINDOW)), F.lit(WINDOW)))
+        return F.aggregate(gaps, F.lit(0), lambda s, x: s + x)
+
+    def repeated(r: Column) -> Column:
+        pairs = F.array_sort(F.transform(r, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        return F.when(F.size(r) > F.size(F.array_distinct(r)), _let(_let(pairs, places), covered)).otherwise(F.lit(0))
+
+    return _let(_let(F.transform(words, lambda w: F.xxhash64(w)), runs), repeated)
 
 
 def _ratios() -> dict:
     return {"symbol_ratio": F.col("n_symbols") / F.greatest("n_words", F.lit(1)), "dup_line_ratio": F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1))}
 
 
-def fences(docs: DataFrame) -> DataFrame:
-    """(lang, source, symbol_ratio_max, dup_line_ratio_max); a null lang or source is a group of its own."""
-    rated = with_metrics(need(docs, "text", "lang", "source"), repeats=False).where(F.col("n_words") >= MIN_WORDS).select("lang", "source", *[x.alias(k) for k, x in _ratios().items()])
+def _fences(rated: DataFrame) -> DataFrame:
+    """Fences of rows with lang, source, n_words, n_symbols, n_lines, n_dup_lines."""
+    rated = rated.withColumn("_bw_row", F.monotonically_increasing_id()).where((F.col("n_words") >= MIN_WORDS) & (F.col("_bw_row") >= 0))  # as in _verdicts
+    rated = rated.select("lang", "source", *[x.alias(k) for k, x in _ratios().items()])
     sketched = rated.groupBy("lang", "source").agg(*[F.kll_sketch_agg_double(k, F.lit(SKETCH_K)).alias(k) for k in SPREADS])
     q = lambda k, at: F.kll_sketch_get_quantile_double(F.col(k), F.lit(at))
     return sketched.select("lang", "source", *[(q(k, 0.75) + F.lit(REACH) * F.greatest(q(k, 0.75) - q(k, 0.25), F.lit(least))).alias(f"{k}_max") for k, least in SPREADS.items()])
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept.
+def fences(docs: DataFrame) -> DataFrame:
+    """(lang, source, symbol_ratio_max, dup_line_ratio_max); a null lang or source is a group of its own."""
+    return _fences(with_metrics(need(docs, "text", "lang", "source"), repeats=False))
 
-    Nulls: a null text has no words and fails. Repeated rows are judged alike.
-    A group without a text of MIN_WORDS words has no fences: its texts failed already.
-    Columns of these names in docs are replaced.
-    """
-    own = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *SPREADS, *[f"{k}_max" for k in SPREADS]]
-    limits = fences(docs).withColumnRenamed("lang", "_bw_l").withColumnRenamed("source", "_bw_s")
-    judged = with_metrics(docs.drop(*own)).withColumn(
-        "base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    )
+
+def _verdicts(measured: DataFrame, limits: DataFrame) -> DataFrame:
+    limits = limits.withColumnRenamed("lang", "_bw_l").withColumnRenamed("source", "_bw_s")
+    # A filter on `kept` must not sink to where words are made, or it copies how they are made: it cannot pass a row number.
+    judged = measured.withColumns({
+        "base_failed": (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")), "_bw_row": F.monotonically_increasing_id()
+    })
     # Few groups: AQE broadcasts them where their measured size allows, and else splits skewed sources.
     judged = judged.join(limits, F.col("lang").eqNullSafe(F.col("_bw_l")) & F.col("source").eqNullSafe(F.col("_bw_s")), "left")
     ratios = _ratios()
     within = [ratios[k] <= F.coalesce(F.col(f"{k}_max"), F.lit(float("inf"))) for k in SPREADS]
-    return judged.withColumn("kept", ~F.col("base_failed") & within[0] & within[1]).drop("_bw_l", "_bw_s", "n_lines", *[f"{k}_max" for k in SPREADS])
+    return judged.withColumn("kept", (F.col("_bw_row") >= 0) & ~F.col("base_failed") & within[0] & within[1]).drop("_bw_l", "_bw_s", "_bw_row", "n_lines", *[f"{k}_max" for k in SPREADS])
+
+
+def judge(docs: DataFrame) -> DataFrame:
+    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept.
+
+    Nulls: a null text has no words and fails. Repeated rows are judged alike,
+    and ties at a fence are kept. A group without a text of MIN_WORDS words has
+    no fences: its texts failed already. An empty table gives an empty one.
+    Columns of these names in docs are replaced. Texts are read twice, for the
+    fences and for the verdicts, and never shuffled.
+    """
+    own = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *SPREADS, *[f"{k}_max" for k in SPREADS]]
+    return _verdicts(with_metrics(docs.drop(*own)), fences(docs))
+
+
+def verdicts(docs: DataFrame, *keep: str) -> DataFrame:
+    """What judge says of each row, with the columns `keep` alone: texts are read once, their metrics written."""
+    measured = written(with_metrics(need(docs, *dict.fromkeys([*keep, "lang", "source", "text"]))).drop(*{"text"} - {*keep}), "metrics")
+    return _verdicts(measured, _fences(measured)).drop(*{"lang", "source"} - {*keep})
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = need(table(spark, sf_dir, "documents"), "doc_id", "text", "lang", "source")
-    return judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return verdicts(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 ORACLE_SQL = r"""
