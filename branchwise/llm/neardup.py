@@ -9,15 +9,25 @@ similarity J_P as their chance.
 Equal texts are one node. Bands of registers make buckets; a bucket's members
 are verified against its leader, never all against all. Those too far from the
 leader, and not of its class by other links, form a bucket of their own with
-next leaders, a few at a time. 1 - J_P is a metric, so a member of that rest can only match one that is linked to the leader if their
-distances to it differ by at most the limit: just such pairs of different
-classes whose registers agree enough are verified too.
+next leaders, a few at a time. 1 - J_P is a metric, so a member of that rest
+can only match one that is linked to the leader if their distances to it differ
+by at most the limit: just such pairs of different classes are verified too.
+
+Crowded band buckets, where about every text shares a band with every other,
+are split first, by a bound that loses no link. If S are the shingles that x and
+y share, and P and Q the shares of their weight that lie in S, each term of J_P
+is at most 1 / (1/p + (1 - Q)/q), which is concave, so J_P <= PQ / (P + Q - PQ).
+Order all shingles by how many texts hold them, the rarest first: P is at most
+what x holds from the first shared shingle on, and at most (distinct shingles
+that y holds from there on + repeats in x) / size of x; Q likewise. So x needs
+only be met at the shingles before which it has lost at most 1 - threshold of
+its weight, and only by partners for which the bound leaves room.
 """
 
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -28,8 +38,10 @@ from branchwise.llm.words import mix, shingles, word_hashes
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 25, 5
-#: Leaders of a bucket in the second round; twice as many in each further one.
-LEADERS = 6
+#: Band buckets of more members are split by shared shingles.
+CROWD = 8
+#: Leaders of a bucket in the second round; four times as many in each further one.
+LEADERS = 8
 #: Bytes of text that one step of a Python worker takes.
 STEP = 1 << 21
 _WORDED = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
@@ -68,13 +80,6 @@ def band_hashes(registers: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def packed(registers: np.ndarray) -> np.ndarray:
-    """The low four bits of each register, sixteen to a 64-bit word."""
-    low = np.zeros((len(registers), -(-registers.shape[1] // 16) * 16), np.uint64)
-    low[:, : registers.shape[1]] = registers & np.uint64(15)
-    return np.bitwise_or.reduce(low.reshape(len(registers), -1, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4)), 2).view(np.int64)
-
-
 def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Exact J_P of two weighted sets (sorted elements, weights)."""
     if not len(a[0]) or not len(b[0]):
@@ -101,8 +106,16 @@ def _steps(frame: pd.DataFrame, *columns: str) -> Iterator[pd.DataFrame]:
 def _sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         for part in _steps(frame, "text"):
-            registers = signatures(list(part["text"]))
-            yield pd.DataFrame({"key": part["key"].to_numpy(), "bands": list(band_hashes(registers)), "registers": list(packed(registers))})
+            yield pd.DataFrame({"key": part["key"].to_numpy(), "bands": list(band_hashes(signatures(list(part["text"]))))})
+
+
+def _spectra(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Distinct shingles of each text (s) with their numbers (c), the size n and the repeats e = n - distinct."""
+    for frame in frames:
+        for part in _steps(frame, "text"):
+            sets = [np.unique(x, return_counts=True) for x in shingles(*word_hashes(list(part["text"])), WORDS)]
+            n = np.array([c.sum() for _, c in sets])
+            yield pd.DataFrame({"key": part["key"].to_numpy(), "n": n, "e": n - np.array([len(c) for _, c in sets]), "s": [h.view(np.int64) for h, _ in sets], "c": [c for _, c in sets]})
 
 
 def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -132,16 +145,45 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def _led(buckets: DataFrame, leaders: int = 1) -> DataFrame:
-    """(bucket, key, leader): all but the leader itself against each leader; a bucket orders keys in its own way."""
-    turn = F.xxhash64("key", "bucket")
+#: What the bound knows of a text at a bucket: share of its weight from there on, distinct shingles from there on, size, repeats.
+AT = ["u", "k", "n", "e"]
+
+
+def _possible(a: Callable[[str], Column], b: Callable[[str], Column], threshold: float) -> Column:
+    """Whether the bound leaves room for a link of a and b, if they share nothing before this bucket's shingle."""
+    p = F.least(a("u"), (b("k") + a("e")) / a("n"))
+    q = F.least(b("u"), (a("k") + b("e")) / b("n"))
+    return 1 / p + 1 / q <= 1 + 1 / threshold + 1e-6
+
+
+def _split(texts: DataFrame, threshold: float) -> DataFrame:
+    """(bucket, key, u, k, n, e) of crowded texts at the shingles that a link needs."""
+    spectra = written(texts.mapInPandas(_spectra, "key binary, n long, e long, s array<long>, c array<long>"), "spectra")
+    flat = spectra.select("key", "n", "e", F.explode(F.arrays_zip("s", "c")).alias("x")).select("key", "n", "e", "x.s", "x.c")
+    shared = written(flat.groupBy("s").agg(F.count("*").alias("f")).where("f > 1"), "shared")
+    order = Window.partitionBy("key").orderBy(F.desc("f"), "s")
+    held = flat.join(shared, "s").withColumns({"u": F.sum("c").over(order.rowsBetween(Window.unboundedPreceding, 0)) / F.col("n"), "k": F.row_number().over(order).cast("long")})
+    met = written(held.where(F.col("u") >= threshold - 1e-6).select(F.xxhash64(F.lit("shingle"), "s").alias("bucket"), "key", *AT), "met")
+    best = met.groupBy("bucket").agg(F.max("u").alias("bu"), F.max("k").alias("bk"), F.min("n").alias("bn"), F.max("e").alias("be"), F.count("*").alias("members")).where("members > 1")
+    room = met.join(written(best, "best"), "bucket").where(_possible(F.col, lambda c: F.col(f"b{c}"), threshold))
+    return room.select("bucket", "key", *AT)
+
+
+def _led(buckets: DataFrame, threshold: float, leaders: int = 1) -> DataFrame:
+    """(bucket, key, u, k, n, e, leader, open): all but the leader itself against each leader.
+
+    Those that hold most lead; of equals, each bucket has its own order. open:
+    the bound leaves room for a link of key and leader.
+    """
+    rank = F.struct((-F.col("u")).alias("d"), F.xxhash64("key", "bucket").alias("t"), "key", "k", "n", "e")
     if leaders == 1:
-        least = buckets.groupBy("bucket").agg(F.min(F.struct(turn.alias("t"), F.col("key").alias("k"))).alias("h"), F.count("*").alias("n"))
-        heads = least.where("n > 1").select("bucket", F.col("h.k").alias("leader"))
+        heads = buckets.groupBy("bucket").agg(F.min(rank).alias("h"), F.count("*").alias("members")).where("members > 1")
     else:
-        place = F.row_number().over(Window.partitionBy("bucket").orderBy(turn, "key"))
-        heads = buckets.withColumn("place", place).where(F.col("place") <= leaders).select("bucket", F.col("key").alias("leader"))
-    return buckets.join(heads, "bucket").where("key <> leader")
+        place = F.row_number().over(Window.partitionBy("bucket").orderBy(rank))
+        heads = buckets.withColumns({"place": place, "h": rank}).where(F.col("place") <= leaders)
+    heads = heads.select("bucket", F.col("h.key").alias("leader"), (-F.col("h.d")).alias("lu"), *[F.col(f"h.{c}").alias(f"l{c}") for c in AT[1:]])
+    led = buckets.join(heads, "bucket").where("key <> leader").withColumn("open", _possible(F.col, lambda c: F.col(f"l{c}"), threshold))
+    return led.select("bucket", "key", *AT, "leader", "open")
 
 
 def _pairs(members: DataFrame) -> DataFrame:
@@ -150,21 +192,10 @@ def _pairs(members: DataFrame) -> DataFrame:
 
 def _named(judged: DataFrame, roots: DataFrame) -> DataFrame:
     """judged with the classes of key (root) and leader (led)."""
-    named = judged.join(roots, "key", "left").select("bucket", "leader", "key", "similarity", "round", F.coalesce("root", "key").alias("root"))
+    named = judged.join(roots, "key", "left").select("bucket", "leader", "key", *AT, "similarity", "round", F.coalesce("root", "key").alias("root"))
     return named.join(roots.toDF("leader", "led"), "leader", "left").withColumn("led", F.coalesce("led", "leader"))
 
 
-def _unequal(a: Column, b: Column) -> Column:
-    """Number of registers whose packed bits differ."""
-    def differ(i: int) -> Column:
-        x = a[i].bitwiseXOR(b[i])
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        return F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
-
-    return functools.reduce(lambda s, x: s + x, [differ(i) for i in range(-(-BANDS * ROWS // 16))])
-
-
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     """roots of the classes after further links, found on the graph of the classes."""
     of = lambda c: F.coalesce(c, F.col("k")).alias("r")
@@ -185,35 +216,39 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     far = 1 - threshold
     keyed = need(docs, "doc_id", "text").withColumn("key", F.when(F.regexp("text", F.lit(_WORDED)), text_key(F.col("text"))))
-    signed = written(keyed.where("key IS NOT NULL").select("key", "text").mapInPandas(_sign, "key binary, bands array<long>, registers array<long>").dropDuplicates(["key"]), "signatures")
-    buckets = signed.select("key", F.explode("bands").alias("bucket"))
-    members = written(_led(buckets), "members")
-
-    wanted = members.select("key").unionByName(members.select(F.col("leader").alias("key"))).distinct()
-    texts = written(keyed.select("key", "text").join(wanted, "key", "left_semi").dropDuplicates(["key"]), "texts")
+    signed = written(keyed.where("key IS NOT NULL").select("key", "text").mapInPandas(_sign, "key binary, bands array<long>").dropDuplicates(["key"]), "signatures")
+    banded = signed.select("key", F.explode("bands").alias("bucket"))
+    sizes = written(banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
+    banded = written(banded.join(sizes, "bucket"), "banded")
+    texts = written(keyed.select("key", "text").join(banded.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]), "texts")
+    whole = {"u": F.lit(1.0), "k": F.lit(1).cast("long"), "n": F.lit(1).cast("long"), "e": F.lit(0).cast("long")}  # the bound says nothing of small buckets
+    small = banded.where(F.col("size") <= CROWD).select("bucket", "key", *[v.alias(c) for c, v in whole.items()])
+    crowd = texts.join(banded.where(F.col("size") > CROWD).select("key").distinct(), "key", "left_semi")
+    members = written(_led(written(small.unionByName(_split(crowd, threshold)), "buckets"), threshold).withColumn("open", F.lit(True)), "members")
 
     def verified(pairs: DataFrame) -> DataFrame:
         with_a = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
         with_b = with_a.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
         return written(with_b.select("a", "b", "text_a", "text_b").mapInPandas(_verify, "a binary, b binary, similarity double"), "verified")
 
+    linked = F.coalesce(F.col("similarity") >= threshold, F.lit(False))  # null: the bound left no room, so it was not verified
     tested, later, roots, rounds = None, None, None, []
     while True:
-        wanted = _pairs(members).select("a", "b").distinct()
+        wanted = _pairs(members.where("open")).select("a", "b").distinct()
         new = verified(wanted if tested is None else wanted.join(tested, ["a", "b"], "left_anti"))
         tested = new if tested is None else tested.unionByName(new)
-        links = new.where(F.col("similarity") >= threshold).select("a", "b")
+        links = new.where(linked).select("a", "b")
         later = links if later is None else later.unionByName(links)
-        judged = written(_pairs(members).join(tested, ["a", "b"]).drop("a", "b").withColumn("round", F.lit(len(rounds))), "judged")
+        judged = written(_pairs(members).join(tested, ["a", "b"], "left").drop("a", "b", "open").withColumn("round", F.lit(len(rounds))), "judged")
         rounds.append(judged)
         # Who is linked to a leader, by the first round's chains or at once, needs no further test in its bucket.
         if roots is None:
             roots, later = components(links), None
         named = _named(judged, roots)
-        settled = named.groupBy("bucket", "key").agg(F.max((F.col("root") == F.col("led")) | (F.col("similarity") >= threshold)).alias("in")).where("NOT in")
+        settled = named.groupBy("bucket", "key", *AT).agg(F.max((F.col("root") == F.col("led")) | linked).alias("in")).where("NOT in")
         led = named.select("bucket", F.col("leader").alias("key")).distinct()
-        rest = settled.select("bucket", "key").join(led, ["bucket", "key"], "left_anti")
-        members = written(_led(written(rest, "rest"), LEADERS << len(rounds) - 1), "members")
+        rest = written(settled.drop("in").join(led, ["bucket", "key"], "left_anti"), "rest")
+        members = written(_led(rest, threshold, LEADERS << 2 * (len(rounds) - 1)), "members")
         if members.isEmpty():
             break
 
@@ -223,23 +258,19 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # What a leader could not rule out: x of its class and y of another one, in one bucket.
     named = _named(functools.reduce(DataFrame.unionByName, rounds), roots)
     # One leader of x is enough, of the first round that has one: y was there too, or left before and has x against its own.
-    own = F.min(F.struct("round", (-F.col("similarity")).alias("away"), "leader", "root")).alias("own")
-    x = named.where("root = led").groupBy("bucket", F.col("key").alias("a")).agg(own)
-    x = x.select("bucket", F.col("own.leader").alias("leader"), "a", (-F.col("own.away")).alias("sa"), F.col("own.root").alias("ra"))
+    own = F.min(F.struct("round", F.coalesce(-F.col("similarity"), F.lit(1.0)).alias("away"), "leader", "root")).alias("own")
+    x = named.where("root = led").groupBy("bucket", F.col("key").alias("a"), *AT).agg(own)
+    x = x.select("bucket", F.col("own.leader").alias("leader"), "a", F.when(F.col("own.away") <= 0, -F.col("own.away")).alias("sa"), F.col("own.root").alias("ra"), *[F.col(c).alias(f"x{c}") for c in AT])
     # Chains put x in the leader's class at any distance, so y is ruled out by the farthest x alone.
-    reach = x.groupBy("bucket", "leader").agg(F.min("sa").alias("least"))
-    edge = named.where((F.col("similarity") < threshold) & (F.col("root") != F.col("led"))).join(reach, ["bucket", "leader"])
-    edge = written(edge.where(F.col("similarity") >= F.col("least") - far - 1e-9).drop("least"), "edge")
+    reach = x.groupBy("bucket", "leader").agg(F.min(F.coalesce("sa", F.lit(0.0))).alias("least"))
+    edge = named.where(~linked & (F.col("root") != F.col("led"))).join(reach, ["bucket", "leader"])
+    edge = written(edge.where(F.coalesce(F.col("similarity") >= F.col("least") - far - 1e-9, F.lit(True))).drop("least"), "edge")
     if not edge.isEmpty():
-        slim = signed.select("key", "registers")
-        x = x.join(slim.toDF("a", "reg_a"), "a")
-        y = edge.select("bucket", "leader", F.col("key").alias("b"), F.col("similarity").alias("sb"), F.col("root").alias("rb")).join(slim.toDF("b", "reg_b"), "b")
-        # Four bits of a register differ with a chance of 15/16 of the distance: five standard deviations above that.
-        p, n = far * 15 / 16, BANDS * ROWS
-        most = n * p + 5 * (n * p * (1 - p)) ** 0.5
-        open_ = x.join(y, ["bucket", "leader"]).where((F.abs(F.col("sa") - F.col("sb")) <= far + 1e-9) & (F.col("ra") != F.col("rb")) & (_unequal(F.col("reg_a"), F.col("reg_b")) <= most))
+        y = edge.select("bucket", "leader", F.col("key").alias("b"), F.col("similarity").alias("sb"), F.col("root").alias("rb"), *[F.col(c).alias(f"y{c}") for c in AT])
+        near = F.coalesce(F.abs(F.col("sa") - F.col("sb")) <= far + 1e-9, F.lit(True))
+        open_ = x.join(y, ["bucket", "leader"]).where(near & (F.col("ra") != F.col("rb")) & _possible(lambda c: F.col(f"x{c}"), lambda c: F.col(f"y{c}"), threshold))
         open_ = open_.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-        more = verified(open_).where(F.col("similarity") >= threshold).select("a", "b")
+        more = verified(open_).where(linked).select("a", "b")
         if not more.isEmpty():
             roots = _joined(roots, more)
     placed = keyed.select("doc_id", "key").join(roots, "key", "left").select("doc_id", F.coalesce("root", "key").alias("root"))
