@@ -121,7 +121,7 @@ def write_warc(pages: DataFrame, root: str, roll_bytes: int = 1 << 30, shard_byt
     ignored. An empty table makes a manifest without files.
     """
     rows = need(pages, "page_id", "url", "html").withColumn("page_id", F.col("page_id").cast("long"))
-    rows = rows.select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload")).withColumn("sha", F.unhex(F.sha1("payload")))
+    rows = rows.select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload")).withColumn("sha", F.unhex(F.sha2("payload", 256)))  # SHA-1, of the headers, collides
     first = rows.where(F.octet_length("payload") >= revisit_from).groupBy("sha").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     first = written(first, "repeated")  # its size is known then: small, it is broadcast and payloads move once
     rows = rows.join(first, "sha", "left").withColumn("refers_to", F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("first")), F.col("first"))).drop("first")
