@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from branchwise.llm.common import need, table
+from branchwise.llm.common import need, table, written
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 PREFIX_HEX = 8
@@ -38,7 +38,8 @@ def judge(urls: DataFrame, rules: DataFrame, default: str = "allow", id_col: str
 
     A null url, or one without ://, has an empty host and path and gets the
     default. Rows with equal urls are judged once; rows with null or repeated
-    ids are kept as they are. Of rules with equal host and path, block wins.
+    ids are kept as they are. Of rules with equal host and path, block wins; of
+    fitting rules of equal length, the last in byte order.
     Without rules all get the default. Other columns are ignored.
     """
     host, path = host_and_path(F.col("u"))
@@ -69,7 +70,8 @@ def judge(urls: DataFrame, rules: DataFrame, default: str = "allow", id_col: str
         .groupBy("host", "path").agg(F.max(F.struct(F.length("rule").alias("n"), "rule", "action")).alias("best"))
         .select("host", "path", F.col("best.rule").alias("rule"), F.col("best.action").alias("action"))
     )
-    return pages.join(verdicts, ["host", "path"], "left").select("page_id", "host", "path", "rule", F.coalesce("action", F.lit(default)).alias("verdict"))
+    # A table of its own, so that AQE can split a hot url (the empty one of all invalid urls) and broadcast few verdicts.
+    return pages.join(written(verdicts, "verdicts"), ["host", "path"], "left").select("page_id", "host", "path", "rule", F.coalesce("action", F.lit(default)).alias("verdict"))
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
