@@ -7,7 +7,7 @@ over the words between. Short items have blocks of two words or one, and more
 to a seed. No place of the substitutions escapes all seeds.
 
 Masked hashes of every window of a text first meet a Bloom filter of the
-benchmark's (of fixed size, so it may go to every worker), then the hashes
+benchmark's (sized by it, of at most 32 MB, so it may go to every worker), then the hashes
 themselves in an equi-join. A hit fixes how text and item lie against each
 other; on that diagonal the item is compared word by word, and counts as leaked
 where the share of equal words reaches the threshold.
@@ -32,7 +32,8 @@ from branchwise.llm.words import mix, word_hashes
 SHAPES = ((3, 2), (2, 3), (1, 6), (1, 5), (1, 4), (1, 3), (1, 2), (1, 1))
 MASKS = 16
 THRESHOLD, MIN_WORDS = 0.8, 5
-FILTER_BITS = 1 << 23
+#: Bits of the filter for each seed, and the least and the most that it has; beyond the most it lets more through, and loses nothing.
+BITS_A_SEED, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 28
 STEP = 1 << 21
 
 
@@ -70,8 +71,8 @@ def masks_for(n: int, threshold: float) -> tuple[tuple[str, ...], int, int]:
     raise ValueError("the threshold must be above 0")
 
 
-def _bits(h: np.ndarray) -> list[np.ndarray]:
-    return [((h >> np.uint64(s)) % np.uint64(FILTER_BITS)).astype(np.int64) for s in (0, 33)]
+def _bits(h: np.ndarray, size: int) -> list[np.ndarray]:
+    return [((h >> np.uint64(s)) & np.uint64(size - 1)).astype(np.int64) for s in (0, 33)]
 
 
 def _steps(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
@@ -107,7 +108,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     Items of fewer than five words, null texts and texts without words never
     match. Equal texts and equal items are compared once each, and all are
     reported. Items with one id are one result, the best; each item without an
-    id is one of its own. Other columns are ignored.
+    id is one of its own. An empty benchmark or table gives no row. Other columns
+    are ignored.
     """
     named = need(benchmark, "item_id", "text").select(F.col("item_id").cast("long").alias("item_id"), "text", text_key(F.col("text")).alias("text_key")).where("text IS NOT NULL")
     every = written(named.select("text_key", "text").dropDuplicates(["text_key"]).mapInPandas(_items, "text_key binary, item binary, words array<long>, n_words int"), "texts")
@@ -117,26 +119,28 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     lengths = [r[0] for r in items.select("n_words").distinct().collect()]
     masks, widest = sorted({m for n in lengths for m in masks_for(n, threshold)[0]}), max(lengths, default=0)
 
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_A_SEED * seeds.count()).bit_length()))
+
     def fill(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        field = np.zeros(FILTER_BITS, bool)
+        field = np.zeros(size, bool)
         for frame in frames:
-            for at in _bits(frame["seed"].to_numpy().view(np.uint64)):
+            for at in _bits(frame["seed"].to_numpy().view(np.uint64), size):
                 field[at] = True
         yield pd.DataFrame({"field": [np.packbits(field).tobytes()]})
 
-    field = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in seeds.select("seed").mapInPandas(fill, "field binary").toLocalIterator():  # one row of fixed size a task
+    field = np.zeros(size // 8, np.uint8)
+    for row in seeds.select("seed").mapInPandas(fill, "field binary").toLocalIterator():  # one row of bounded size a task
         field |= np.frombuffer(bytes(row[0]), np.uint8)
     shipped = docs.sparkSession.sparkContext.broadcast(field.tobytes())
 
     def probe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         field = np.unpackbits(np.frombuffer(shipped.value, np.uint8)).view(bool)
         for frame in frames:
-            for part in _steps(frame):
+            for part in _steps(frame) if masks else ():
                 hashes, bounds = word_hashes(list(part["text"]))
                 found = []
                 for mask, s in zip(masks, masked(hashes, masks), strict=True):
-                    one, two = _bits(s)
+                    one, two = _bits(s, size)
                     at = np.flatnonzero(field[one] & field[two])
                     doc = np.searchsorted(bounds, at, "right") - 1
                     inside = at + len(mask) <= bounds[doc + 1]
@@ -176,7 +180,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """A row for each row of docs and item that it holds: doc_id, item_id, n_words, n_matched, start_word."""
+    """A row for each row of docs and item that it holds: doc_id (null or repeated: as it is), item_id, n_words, n_matched, start_word."""
     found = written(leaks(docs, benchmark, threshold), "leaks")
     return need(docs, "doc_id", "text").select("doc_id", text_key(F.col("text")).alias("key")).join(found, "key").drop("key")
 

@@ -56,3 +56,12 @@ def test_items_without_an_id_are_found(spark):
     items = spark.createDataFrame(items, "item_id long, text string")
     assert decontam.contaminated(docs, items).count() == 4
     assert [r.doc_id for r in decontam.decontaminate(docs, items).collect()] == [3]
+
+
+def test_odd_rows(spark, odd_docs):
+    bench = spark.createDataFrame([(1, "alpha3 alpha4 alpha5 alpha6 alpha7 alpha8"), (2, None), (3, ""), (4, "alpha1 alpha2"), (None, None)], "item_id long, text string").selectExpr("*", "'x' AS item", "'x' AS words")
+    got = decontam.contaminated(odd_docs, bench).collect()
+    assert sorted(map(str, ((r.doc_id, r.item_id) for r in got))) == sorted(map(str, [(1, 1), (1, 1), (2, 1), (None, 1)]))
+    assert decontam.decontaminate(odd_docs, bench).count() == 6
+    assert decontam.contaminated(odd_docs.limit(0), bench).count() == decontam.contaminated(odd_docs, bench.limit(0)).count() == 0
+    assert decontam.decontaminate(odd_docs, bench.limit(0)).count() == 10
