@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from branchwise.llm.common import SPACES, need, shared_dir, table, text_key
+from branchwise.llm.common import SPACES, need, table, text_key, written
 
 MIN_SITES = 10
 LG_K = 12
@@ -28,18 +28,21 @@ def _hashed(line: Column) -> list[Column]:
     return [F.xxhash64(bare).alias("h1"), F.xxhash64(F.lit("2"), bare).alias("h2"), (bare != "").alias("full")]
 
 
-def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """(h1, h2) of each line that stands on at least min_sites different sources; null sources are no site."""
-    spark = docs.sparkSession
-    lines = need(docs, "source", "text").select("source", F.explode(_lines(F.col("text"))).alias("line")).select("source", *_hashed(F.col("line"))).where("full").drop("full")
-    often = lines.groupBy("h1", "h2").agg(F.count("source").alias("n")).where(F.col("n") >= min_sites).drop("n")
-    path = f"{shared_dir(spark, 'linededup')}/estimates"
+def hashed_lines(docs: DataFrame) -> DataFrame:
+    """(text_key, at, source, h1, h2) of each line that is more than white space; written, so that texts are split and hashed once."""
+    lines = need(docs, "source", "text").select("source", text_key(F.col("text")).alias("text_key"), F.posexplode(_lines(F.col("text"))).alias("at", "line"))
+    return written(lines.select("text_key", "at", "source", *_hashed(F.col("line"))).where("full").drop("full"), "lines")
+
+
+def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+    """(h1, h2) of each of hashed_lines that stands on at least min_sites different sources; null sources are no site."""
+    lines = lines.select("source", "h1", "h2")
+    often = written(lines.groupBy("h1", "h2").agg(F.count("source").alias("n")).where(F.col("n") >= min_sites).drop("n"), "often")
     # A very common line is dealt over salts: sketches merge in two steps.
     salted = often.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     dealt = lines.withColumn("salt", F.pmod(F.xxhash64(F.rand(7)), F.lit(SALTS)).cast("int")).join(salted, ["h1", "h2", "salt"])
     partial = dealt.groupBy("h1", "h2", "salt").agg(F.hll_sketch_agg("source", F.lit(LG_K)).alias("sketch"))
-    partial.groupBy("h1", "h2").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("sites")).write.parquet(path)
-    estimates = spark.read.parquet(path)
+    estimates = written(partial.groupBy("h1", "h2").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("sites")), "estimates")
     width = max(1.0, MARGIN * min_sites)
     near = estimates.where(F.abs(F.col("sites") - min_sites) <= width).drop("sites")
     exact = lines.join(near, ["h1", "h2"]).groupBy("h1", "h2").agg(F.countDistinct("source").alias("sites")).where(F.col("sites") >= min_sites)
@@ -50,18 +53,14 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame
     """docs with text less its boilerplate lines, and n_lines, n_removed (long).
 
     Every occurrence goes. Lines of white space alone are never boilerplate. A
-    null text stays null, with n_lines 0. Equal rows are treated alike; other
+    null text stays null, with n_lines 0. An empty table gives an empty one. Equal
+    rows are treated alike; other
     columns stay, but for columns named n_lines or n_removed, which are replaced.
     """
     docs = docs.drop("n_lines", "n_removed").withColumn("_bw_key", text_key(F.col("text")))
-    boiler = boilerplate(docs, min_sites)
-    hits = (
-        docs.select("_bw_key", F.posexplode(_lines(F.col("text"))).alias("at", "line"))
-        .select("_bw_key", "at", *_hashed(F.col("line"))).where("full").drop("full")
-        .join(boiler, ["h1", "h2"], "left_semi")
-        .select("_bw_key", "at").distinct()
-        .groupBy("_bw_key").agg(F.collect_list("at").alias("_bw_gone"))
-    )
+    lines = hashed_lines(docs)
+    boiler = written(boilerplate(lines, min_sites), "boilerplate")
+    hits = lines.join(boiler, ["h1", "h2"], "left_semi").groupBy(F.col("text_key").alias("_bw_key")).agg(F.collect_set("at").alias("_bw_gone"))
     out = docs.join(hits, "_bw_key", "left").withColumn("_bw_lines", _lines(F.col("text")))
     stay = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size("_bw_lines") - 1), F.col("_bw_gone")))
     kept = F.array_join(F.transform(stay, lambda i: F.get("_bw_lines", i)), "\n")
