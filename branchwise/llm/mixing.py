@@ -1,17 +1,20 @@
 """Soft-membership mixing: how often each document should be seen.
 
 A softmax classifier of words and byte shares, fitted on a bounded
-sample of labelled rows, gives each document posteriors of the domains good,
-low and toxic. Rates r >= 0 then minimize the weighted squared distance between
-A r (expected words of each domain; column a_d = words * posterior) and the
+sample of labelled rows, gives each document posteriors p of the domains good,
+low and toxic. Rates r >= 0 then minimize the squared distance between A r
+(expected words of each domain; column a_d = words * posterior) and the
 targets, by projected gradient from r = 1 in the metric that counts a word of
-any document alike (scale 1 / words), so a step moves r by posterior . w. With
-the weights (A diag(1 / words) A^T)^-1 the step 1 is safe. A step needs the
-three sums A r and nothing else of the corpus.
+any document alike, in which a step moves r by p . w. Projection is lazy: the
+steps so far sum to L, and r = max(floor, 1 - p . L), so no document carries a
+state. Each step w is the gradient, the gap of the totals, scaled by the Gram
+matrix of the documents that the floor leaves free, and shortened until it
+descends. A step needs ten sums over the corpus and nothing else of it.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +29,11 @@ DOMAINS = ("good", "low", "toxic")
 TARGETS = {"good": 1.0, "low": 0.02, "toxic": 0.0}
 #: The classifier sees at most this many labelled rows, those with the smallest hash of doc_id.
 MAX_LABELLED = 3_000
-EPOCHS, STEP, STEPS = 200, 1 << 21, 30
+EPOCHS, STEP = 200, 1 << 21
+#: Most passes over the scores; a fit that needs more is reported as not converged.
+STEPS = 60
+#: Weight of the distance from rate 1 against that of the totals from the targets.
+RIDGE = 1e-4
 #: A word counts if it is this many standard errors too frequent in some class, in at least LEAST texts.
 SCREEN, LEAST, MOST_WORDS = 4.0, 3, 50_000
 
@@ -106,7 +113,9 @@ def classifier(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) ->
     """
     named = need(labels, "doc_id", "quality", "toxic").na.drop().groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
     sample = named.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = need(docs, "doc_id", "text").join(F.broadcast(sample), "doc_id").limit(most).orderBy("doc_id").toPandas()  # at most `most` rows on either side
+    # At most `most` rows on either side; texts with one id are taken by their hash.
+    found = need(docs, "doc_id", "text").join(F.broadcast(sample), "doc_id")
+    rows = found.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "text").limit(most).toPandas()
     if rows.empty:
         return {"words": np.empty(0, np.uint64), "w": np.zeros((0, 3), np.float32), "v": np.zeros((128, 3), np.float32), "b": np.zeros(3, np.float32)}
     classes = np.where(rows["toxic"] > 0, 2, np.where(rows["quality"] > 0, 0, 1))
@@ -135,30 +144,55 @@ def _mass(name: str) -> Column:
     return F.col("n_tokens") * F.col(f"p_{name}")
 
 
-def fit_rates(scored: DataFrame, targets: dict[str, float] = TARGETS, steps: int = STEPS, tolerance: float = 1e-4) -> tuple[Column, dict]:
+def fit_rates(scored: DataFrame, targets: dict[str, float] = TARGETS, floor: Column | None = None, steps: int = STEPS, tolerance: float = 1e-4) -> tuple[Column, dict]:
     """The rate as an expression of scored's columns, and what was asked for and reached.
 
-    targets are multiples of the first domain's expected words at rate 1.
+    targets are multiples of the first domain's expected words at rate 1; floor
+    is the least rate of a row (0 where it is None). Where several rates are best,
+    and against endless steps towards targets that cannot all be met, RIDGE of the
+    squared distance from rate 1 is added. The fit has converged when the gradient
+    is below `tolerance` of the largest target in each domain.
     """
-    k = len(DOMAINS)
-    gram = scored.agg(*[F.sum(_mass(a) * F.col(f"p_{b}")) for i, a in enumerate(DOMAINS) for b in DOMAINS[i:]], *[F.sum(_mass(a)) for a in DOMAINS]).first()
-    gram = [x or 0.0 for x in gram]
-    g = np.zeros((k, k))
-    g[np.triu_indices(k)] = gram[: k * (k + 1) // 2]
-    g = g + np.triu(g, 1).T
-    now = np.array(gram[-k:], float)
-    want = now[0] * np.array([targets[d] for d in DOMAINS])
-    inverse = np.linalg.pinv(g + np.eye(k) * max(np.trace(g), 1e-12) * 1e-9)
-    moves, rate, taken = [], F.lit(1.0), 0
-    for taken in range(1, steps + 1):
-        moves.append((inverse @ (now - want)).tolist())
-        # The same small plan for any number of steps: a fold over the moves so far.
-        fold = F.aggregate(F.array(*[F.array(*map(F.lit, w)) for w in moves]), F.lit(1.0), lambda r, w: F.greatest(F.lit(0.0), r - sum((F.col(f"p_{d}") * w[i] for i, d in enumerate(DOMAINS)), F.lit(0.0))))
-        rate = F.when(F.col("n_tokens") > 0, fold).otherwise(F.lit(1.0))
-        before, now = now, np.array([x or 0.0 for x in scored.agg(*[F.sum(rate * _mass(d)) for d in DOMAINS]).first()], float)
-        if np.abs(now - before).max() <= tolerance * max(1.0, np.abs(want).max()):
-            break
-    return rate, {"targets": dict(zip(DOMAINS, want.tolist(), strict=True)), "reached": dict(zip(DOMAINS, now.tolist(), strict=True)), "steps": taken}
+    k, upper = len(DOMAINS), [(i, j) for i in range(len(DOMAINS)) for j in range(i, len(DOMAINS))]
+    low = F.lit(0.0) if floor is None else floor
+
+    def rate(at: np.ndarray) -> tuple[Column, Column]:
+        moved = sum((F.col(f"p_{d}") * float(x) for d, x in zip(DOMAINS, at, strict=True)), F.lit(0.0))
+        return F.greatest(low, 1 - moved), moved
+
+    def sums(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Totals, Gram matrix of the free rows, and the function whose gradient is minus the totals."""
+        r, moved = rate(at)
+        free, edge = F.col("n_tokens") * (1 - moved >= low).cast("double"), 1 - low
+        under = F.when(moved <= edge, moved - moved * moved / 2).otherwise(edge - edge * edge / 2 + low * (moved - edge))
+        row = scored.agg(*[F.sum(r * _mass(d)) for d in DOMAINS], *[F.sum(free * F.col(f"p_{DOMAINS[i]}") * F.col(f"p_{DOMAINS[j]}")) for i, j in upper], F.sum(F.col("n_tokens") * under)).first()
+        row = [x or 0.0 for x in row]
+        gram = np.zeros((k, k))
+        for (i, j), x in zip(upper, row[k:], strict=False):
+            gram[i, j] = gram[j, i] = x
+        return np.array(row[:k]), gram, -row[-1]
+
+    first = scored.agg(*[F.sum(_mass(d)) for d in DOMAINS]).first()
+    want = float(first[0] or 0.0) * np.array([targets[d] for d in DOMAINS])
+    scale, at, taken = max(1.0, float(np.abs(want).max())), np.zeros(k), 0
+    now, gram, value = sums(at)
+    ridge = RIDGE * max(np.trace(gram), 1e-12) / k
+    slope = now - want  # less the ridge's part: what a step descends along
+    while not (converged := bool(np.abs(slope).max() <= tolerance * scale)) and taken < steps:
+        move, share = np.linalg.solve(gram + ridge * np.eye(k), slope), 1.0
+        while taken < steps:
+            taken += 1
+            there = at + share * move
+            new, new_gram, new_value = sums(there)
+            if new_value + there @ want + ridge / 2 * there @ there <= value + at @ want + ridge / 2 * at @ at - 1e-4 * share * (move @ slope) + 1e-12 * scale:
+                at, now, gram, value = there, new, new_gram, new_value
+                slope = now - want - ridge * at
+                break
+            share /= 4
+    if not converged:
+        warnings.warn(f"mixing: targets {want.tolist()} not fitted in {steps} steps, reached {now.tolist()}", stacklevel=2)
+    named = lambda x: dict(zip(DOMAINS, x.tolist(), strict=True))
+    return F.when(F.col("n_tokens") > 0, rate(at)[0]).otherwise(F.lit(1.0)), {"targets": named(want), "reached": named(now), "steps": taken, "converged": converged}
 
 
 def copies(rate: Column, rounding: str, *by: Column) -> Column:
@@ -169,33 +203,38 @@ def copies(rate: Column, rounding: str, *by: Column) -> Column:
     return F.floor(rate + share).cast("int")
 
 
-def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, rounding: str = "hash") -> DataFrame:
+def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, rounding: str = "hash", report: dict | None = None) -> DataFrame:
     """A row a document: doc_id, n_tokens, p_good, p_low, p_toxic, rate, copies.
 
     Null and empty texts have no words: they bear on no target and keep rate 1.
-    Repeated rows are rated alike. Other columns are ignored.
+    Repeated rows are rated alike. An empty table gives an empty one. Other
+    columns are ignored. `report` receives targets, reached totals and steps.
     """
     scored = written(posteriors(docs, classifier(docs, labels), "doc_id"), "scored")
-    rate, _ = fit_rates(scored, targets)
+    rate, found = fit_rates(scored, targets)
+    if report is not None:
+        report.update(found)
     return scored.withColumn("rate", rate).withColumn("copies", copies(F.col("rate"), rounding, F.col("doc_id")))
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, rounding: str = "nearest", keep: str | None = "good") -> DataFrame:
-    """docs with each row as often as its rate says, by default to the nearest whole number; the columns stay.
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, rounding: str = "hash", keep: str | None = "good", report: dict | None = None) -> DataFrame:
+    """docs with each row as often as its rate says, right in expectation; the columns stay.
 
-    A row whose likeliest domain is `keep` stays at least once (None: no such rule).
+    A row whose likeliest domain is `keep` has a rate of 1 at least, which the
+    fit knows, so it stays (None: no such rule). Null texts stay once, repeated
+    rows are drawn alike, an empty table gives an empty one, and columns of docs
+    may have any name. `report` receives targets, reached totals and steps.
     """
-    columns = docs.columns
-    plain = docs.drop("n_tokens", "rate", *[f"p_{d}" for d in DOMAINS])
-    if plain.columns != columns:
-        raise ValueError("a column has the name of a posterior or a rate")
-    scored = written(posteriors(docs, classifier(docs, labels), *columns), "scored")
-    rate, _ = fit_rates(scored, targets)
-    times = copies(rate, rounding, F.col("doc_id"), F.col("text"))
+    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
+    scored = written(posteriors(plain, classifier(docs, labels), "row", "doc_id", "text"), "scored")
+    floor = None
     if keep:
-        likeliest = F.col(f"p_{keep}") >= F.greatest(*[F.col(f"p_{d}") for d in DOMAINS])
-        times = F.when(likeliest, F.greatest(times, F.lit(1))).otherwise(times)
-    return scored.withColumn("_bw_times", times).where("_bw_times > 0").withColumn("_bw_times", F.explode(F.array_repeat(F.lit(1), F.col("_bw_times")))).select(*columns)
+        floor = F.when(F.col(f"p_{keep}") >= F.greatest(*[F.col(f"p_{d}") for d in DOMAINS]), 1.0).otherwise(0.0)
+    rate, found = fit_rates(scored.select("n_tokens", *[f"p_{d}" for d in DOMAINS]), targets, floor)
+    if report is not None:
+        report.update(found)
+    times = copies(rate, rounding, F.col("doc_id"), F.col("text"))
+    return scored.select("row", times.alias("times")).where("times > 0").withColumn("times", F.explode(F.array_repeat(F.lit(1), F.col("times")))).select("row.*")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
