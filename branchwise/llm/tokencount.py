@@ -80,18 +80,19 @@ def allocate(starts: np.ndarray, ends: np.ndarray, from_: np.ndarray, to: np.nda
     return out
 
 
-def count_tokens(docs: DataFrame, rule: str = "majority", tokenizers: str = TOKENIZERS) -> DataFrame:
+def count_tokens(docs: DataFrame, rule: str = "majority", tokenizers: str = TOKENIZERS, sections: str | None = None) -> DataFrame:
     """A row per document and section: doc_id, section, start_char, end_char, n_tokens.
 
-    Sections are the column `sections` (array of struct<start, end>, sorted and
-    disjoint; a row numbered -1 holds tokens outside all) or, where docs has no
-    such column, the text's lines with their newlines. A null text is empty; an
-    empty text has one empty line. Rows with equal or null ids stay apart, each
-    with its own sections. Other columns are ignored.
+    Sections are the text's lines with their newlines or, where `sections` names
+    a column (array of struct<start, end>, sorted and disjoint), those; a row
+    numbered -1 then holds tokens outside all. A null text is empty; an empty
+    text has one empty line. Rows with equal or null ids stay apart, each with
+    its own sections. An empty table gives an empty one. Other columns are ignored.
+    `tokenizers` is a folder that every worker can read: an input.
     """
     if rule not in ("majority", "start"):
         raise ValueError(rule)
-    given = "sections" in docs.columns
+    given = sections is not None
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -121,7 +122,8 @@ def count_tokens(docs: DataFrame, rule: str = "majority", tokenizers: str = TOKE
                 ids = pd.array([None if pd.isna(p[0]) else int(p[0]) for p in parts], dtype="Int64")
                 yield pd.DataFrame({"doc_id": ids.repeat(sizes)} | {n: np.concatenate([p[k] for p in parts]) for k, n in enumerate(("section", "start_char", "end_char", "n_tokens"), 1)})
 
-    return need(docs, "doc_id", "text", *["sections"] * given).withColumn("doc_id", F.col("doc_id").cast("long")).mapInPandas(batches, SCHEMA)
+    asked = need(docs, "doc_id", "text", *[sections] * given).toDF("doc_id", "text", *["sections"] * given)
+    return asked.withColumn("doc_id", F.col("doc_id").cast("long")).mapInPandas(batches, SCHEMA)
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
