@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,9 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder under spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """A new folder under spark.checkpoint.dir; a temporary one only in local mode (tests): executors could not share it."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="branchwise-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
