@@ -12,10 +12,16 @@ SEPARATOR = "\x1f"
 
 
 @F.pandas_udf(T.StringType())
-def nfc(s: pd.Series) -> pd.Series:
+def _composed(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
 
 
+def nfc(c: Column) -> Column:
+    """Only text beyond ASCII goes through Python: ASCII is composed already."""
+    plain = ~F.regexp(c, F.lit(r"[^\x00-\x7F]"))
+    return F.when(plain, c).otherwise(_composed(F.when(~plain, c)))
+
+
 def collapse_whitespace(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"[ \t\n\r\f]+", " "))
 

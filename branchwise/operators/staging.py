@@ -1,4 +1,4 @@
-"""Levels written to the shared folder, so that costly scores are asked for once."""
+"""Ids and levels written to the shared folder, so that costly scores are asked for once."""
 
 from __future__ import annotations
 
@@ -10,8 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Under spark.checkpoint.dir; a temporary folder only where that is unset."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="branchwise-")
+    """Under spark.checkpoint.dir; a temporary folder only in local mode: executors could not share it."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="branchwise-")
     return f"{root.rstrip('/')}/stage-{uuid.uuid4().hex}"
 
 

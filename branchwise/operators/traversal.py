@@ -20,11 +20,11 @@ COLUMNS = ["article_id", "task_root", "node_id", "node_depth", "child_id", "ordi
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-def children(spark: SparkSession, o: Ontology, traversal: float = 0.30, positive: float = 0.50) -> DataFrame:
-    """An edge a row, with the child's type and thresholds: its own, else the defaults."""
+def children(spark: SparkSession, o: Ontology, traversal: float, positive: float) -> DataFrame:
+    """An edge a row, with the child's type and thresholds: its own, else those given."""
     by = {n.id: n for n in o.nodes}
     pick = lambda own, default: default if own is None else own
-    rows = [(n, c, k, by[n].type, by[c].type, c.endswith(".none"), pick(by[c].traversal_threshold, traversal), pick(by[c].positive_threshold, positive)) for n, c, k in o.edges()]
+    rows = [(n, c, k, by[n].type, by[c].type, by[c].none, pick(by[c].traversal_threshold, traversal), pick(by[c].positive_threshold, positive)) for n, c, k in o.edges()]
     return spark.createDataFrame(rows, "node_id string, child_id string, ordinal int, node_type string, child_type string, is_none boolean, traversal_threshold double, local_threshold double")
 
 
@@ -59,8 +59,13 @@ def decide(scored: DataFrame, ranked: bool = True) -> DataFrame:
     return out.withColumns({"selected_positive": positive, "selected_for_traversal": descend}).drop("_best")
 
 
-def traverse(articles: DataFrame, o: Ontology, scorer: Scorer = hash_scorer, traversal: float = 0.30, positive: float = 0.50, max_depth: int = 10, stage: Callable[[DataFrame, int], DataFrame] | None = None) -> DataFrame:
-    """A row an article, visited node and child (COLUMNS), and child_type.
+def traverse(articles: DataFrame, o: Ontology, scorer: Scorer, *, traversal: float, positive: float, max_depth: int, max_nodes: int | None, stage: Callable[[DataFrame, int], DataFrame] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """A row an article, visited node and child (COLUMNS), child_type and the scorer's columns `keep`.
+
+    A scorer adds score and status to rows of article, node and child; one with
+    the attribute by_node makes those rows itself, of articles and nodes. Past
+    max_nodes visited nodes of an article, in breadth-first canonical order, no
+    call is made (None: no budget).
 
     `stage` writes a level and reads it back: needed when scores cost something,
     or each later level would ask for them again.
@@ -73,29 +78,42 @@ def traverse(articles: DataFrame, o: Ontology, scorer: Scorer = hash_scorer, tra
         one = articles.select("article_id").withColumns({"task_root": F.lit(root), "node_id": F.lit(root), "node_depth": F.lit(0), "above": F.lit(1.0)})
         front = one if front is None else front.unionByName(one)
     inner, levels, depth = {n.id for n in o.nodes if n.type != "leaf"}, [], 0
+    places = F.broadcast(spark.createDataFrame(list(_places(o).items()), "node_id string, place string")) if max_nodes else None
+    if max_nodes:
+        front = front.withColumn("seen", F.lit(0))
     reach = set(o.roots) & inner
     by = {n.id: n for n in o.nodes}
     while reach and depth < max_depth:
-        level = decide(scorer(front.join(edges, "node_id")), ranked).withColumn("path_score", F.col("above") * F.col("score"))
+        if max_nodes:
+            each = Window.partitionBy("article_id")
+            ranks = {"turn": F.row_number().over(each.orderBy("place")) + F.col("seen"), "seen": F.col("seen") + F.count("*").over(each).cast("int")}
+            front = front.join(places, "node_id").withColumns(ranks).where(F.col("turn") <= max_nodes).drop("turn", "place")
+        scored = scorer(front, edges) if getattr(scorer, "by_node", False) else scorer(front.join(edges, "node_id"))
+        level = decide(scored, ranked).withColumn("path_score", F.col("above") * F.col("score"))
         level = stage(level, depth) if stage else level
         levels.append(level)
         front = level.where(F.col("selected_for_traversal") & (F.col("child_type") != "leaf")).select(
-            "article_id", "task_root", F.col("child_id").alias("node_id"), (F.col("node_depth") + 1).alias("node_depth"), F.col("path_score").alias("above"))
+            "article_id", "task_root", F.col("child_id").alias("node_id"), (F.col("node_depth") + 1).alias("node_depth"), F.col("path_score").alias("above"), *["seen"] * bool(max_nodes))
         reach = {c for n in reach for c in by[n].children} & inner
         depth += 1
     out = levels[0]
     for level in levels[1:]:
         out = out.unionByName(level)
-    return out.select(*COLUMNS, "child_type")
+    return out.select(*COLUMNS, "child_type", *keep)
 
 
-def within_budget(rows: DataFrame, o: Ontology, max_nodes: int = 100) -> DataFrame:
-    """The rows of each article's first max_nodes visited nodes in breadth-first, canonical order; ancestors come first."""
-    paths = {r: "0000" for r in o.roots}
+def _places(o: Ontology) -> dict[str, str]:
+    """Where each node stands: the ordinals on its path."""
+    paths = {r: f"{k:04d}" for k, r in enumerate(o.roots)}
     for n in _breadth(o):
         for k, c in enumerate(n.children):
             paths[c] = f"{paths[n.id]}.{k:04d}"
-    order = rows.sparkSession.createDataFrame(list(paths.items()), "node_id string, place string")
+    return paths
+
+
+def within_budget(rows: DataFrame, o: Ontology, max_nodes: int) -> DataFrame:
+    """The rows of each article's first max_nodes visited nodes in breadth-first, canonical order; ancestors come first."""
+    order = rows.sparkSession.createDataFrame(list(_places(o).items()), "node_id string, place string")
     visited = rows.select("article_id", "node_id", "node_depth").distinct().join(F.broadcast(order), "node_id")
     first = visited.withColumn("k", F.row_number().over(Window.partitionBy("article_id").orderBy("node_depth", "place"))).where(F.col("k") <= max_nodes)
     return rows.join(first.select("article_id", "node_id"), ["article_id", "node_id"], "left_semi")
@@ -110,7 +128,6 @@ def _breadth(o: Ontology):
 
 def skipped(articles: DataFrame, rows: DataFrame, o: Ontology) -> DataFrame:
     """A row for each child that routing left out; below a failed node there are none."""
-    edges = children(articles.sparkSession, o).select("node_id", "child_id")
     failed = rows.where("status <> 'SUCCESS'").select("article_id", F.col("child_id").alias("lost")).distinct()
     below = {n.id: _under(o, n.id) for n in o.nodes}
     pairs = articles.sparkSession.createDataFrame([(a, d) for a, ds in below.items() for d in ds], "lost string, node_id string")

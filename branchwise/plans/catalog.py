@@ -2,21 +2,31 @@
 
 from __future__ import annotations
 
-from functools import cache
+import hashlib
+from functools import cache, partial
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from branchwise.adapters import models
+from branchwise.adapters.base import RateLimited, with_retries
+from branchwise.control import config, provenance
 from branchwise.functions import text
-from branchwise.operators import staging, traversal as tv
-from branchwise.sources import articles as src, ontology as onto
+from branchwise.operators import scoring, staging, traversal as tv
+from branchwise.sinks import results
+from branchwise.sources import articles as src, ontology as onto, templates
 
 SEED, SAMPLE = 917341, 100
+#: The queries' configuration of traverse(), which has no defaults.
+HIERARCHY = {"traversal": 0.30, "positive": 0.50, "max_depth": 10, "max_nodes": None}
+
+
+DATA = Path(__file__).parents[1] / "data"
 
 
 @cache
 def fixture() -> onto.Ontology:
-    return onto.load(str(Path(__file__).parents[1] / "data" / "fixture_ontology.yaml"))
+    return onto.load(str(DATA / "fixture_ontology.yaml"))
 
 
 def _articles(s: SparkSession, d: str) -> DataFrame:
@@ -25,8 +35,14 @@ def _articles(s: SparkSession, d: str) -> DataFrame:
     return made.groupBy("article_id").agg(F.min("doc_id").alias("doc_id"))
 
 
-def _walk(s, d, **kw) -> DataFrame:
-    return tv.traverse(_articles(s, d), fixture(), **kw)
+def _edges(s) -> DataFrame:
+    return F.broadcast(tv.children(s, fixture(), HIERARCHY["traversal"], HIERARCHY["positive"]))
+
+
+def _walk(s, d, o=None, scorer=tv.hash_scorer, **kw) -> DataFrame:
+    """Ids and each level are written once: no level makes an earlier one, or the ids, anew."""
+    stage = staging.stager(s)
+    return tv.traverse(stage(_articles(s, d).select("article_id"), -1), o or fixture(), scorer, **HIERARCHY | {"stage": stage} | kw)
 
 
 def _docs(s, d):
@@ -53,8 +69,15 @@ def truncation_audit(s, d):
 
 
 def sample_topk(s, d):
-    order = F.sha2(F.concat(F.lit(f"{SEED}:"), "article_id"), 256)
-    return _articles(s, d).select("article_id").orderBy(order, "article_id").limit(SAMPLE)
+    return sample_ranked(s, d).select("article_id")
+
+
+def sample_ranked(s, d):
+    return src.sample(_articles(s, d), SEED, SAMPLE)
+
+
+def sample_restriction(s, d):
+    return src.restricted(_articles(s, d), sample_ranked(s, d)).select("article_id", "doc_id")
 
 
 def sample_manifest_hash(s, d):
@@ -72,12 +95,12 @@ _BROKEN = "WITH n(node_id, type) AS (VALUES ('r','multi_label'),('a','multi_labe
 
 
 def score_children(s, d):
-    edges = F.broadcast(tv.children(s, fixture()).select("node_id", "child_id"))
+    edges = _edges(s).select("node_id", "child_id")
     return tv.hash_scorer(_articles(s, d).select("article_id").withColumn("node_id", F.lit("markets.financing")).join(edges, "node_id")).select("article_id", "node_id", "child_id", "score")
 
 
 def _all(s, d):
-    edges = F.broadcast(tv.children(s, fixture()))
+    edges = _edges(s)
     pairs = _articles(s, d).select("article_id", F.explode(F.array(*[F.lit(n.id) for n in fixture().nodes if n.type != "leaf"])).alias("node_id"))
     return tv.decide(tv.hash_scorer(pairs.join(edges, "node_id")))
 
@@ -102,17 +125,16 @@ def traverse_bfs(s, d):
 
 
 def traverse_loop_mapinpandas(s, d):
-    """The same walk with an opaque scorer, each level written before it is read twice."""
-    import hashlib
+    """The same walk with an opaque scorer."""
 
     def score(rows: DataFrame) -> DataFrame:
         def run(frames):
             for f in frames:
-                yield f.assign(score=[int(hashlib.sha256(f"{a}:{c}".encode()).hexdigest()[:8], 16) / 4294967296 for a, c in zip(f["article_id"], f["child_id"], strict=True)], status="SUCCESS")
+                yield f.assign(score=[_hash_score(a, c) for a, c in zip(f["article_id"], f["child_id"], strict=True)], status="SUCCESS")
         fields = ", ".join(f"{x.name} {x.dataType.simpleString()}" for x in rows.schema)
         return rows.mapInPandas(run, f"{fields}, score double, status string")
 
-    return _walk(s, d, scorer=score, stage=staging.stager(s)).select(*WALK)
+    return _walk(s, d, scorer=score).select(*WALK)
 
 
 def relevance_routing(s, d):
@@ -134,7 +156,7 @@ def depth_cap(s, d):
 
 
 def node_budget(s, d):
-    return tv.within_budget(_walk(s, d), fixture(), 3).select("article_id", "node_id", "child_id")
+    return _walk(s, d, max_nodes=3).select("article_id", "node_id", "child_id")
 
 
 def nodes_visited(s, d):
@@ -183,7 +205,7 @@ def label_permutation(s, d):
 
 
 def taxonomy_view(s, d):
-    return tv.traverse(_articles(s, d), onto.view(fixture(), 2)).select(*WALK)
+    return _walk(s, d, onto.view(fixture(), 2)).select(*WALK)
 
 
 def ablation_text(s, d):
@@ -202,7 +224,101 @@ def path_scores(s, d):
     return w.join(parent, ["article_id", "node_id"], "left").select("article_id", "child_id", "path_score", (F.coalesce("above", F.lit(1.0)) * F.col("score")).alias("rebuilt"))
 
 
+def input_lead(s, d):
+    raw = src.from_documents(s, d)
+    lead = text.normalize(F.substring_index("article", "\n\n", 1))
+    return raw.select("doc_id", F.sha2(text.model_input(text.normalize(F.col("headline")), lead, "\n\n", "headline_plus_lead"), 256).alias("article_input_hash"))
+
+
+def task_roots(s, d):
+    return _walk(s, d).groupBy("article_id", "task_root").agg(F.count("*").alias("n_rows"))
+
+
+def missing_children(s, d):
+    """Decisions that leave out the children of small scores: each is still a row, and no negative."""
+    scored = tv.hash_scorer(_articles(s, d).select("article_id").withColumn("node_id", F.lit("markets.financing")).join(_edges(s).select("node_id", "child_id"), "node_id"))
+    held = F.filter(F.collect_list(F.struct("child_id", "score")), lambda x: x["score"] >= 0.05)
+    made = scored.groupBy("article_id", "node_id").agg(F.map_from_entries(held).alias("scores")).withColumns({"call_status": F.lit("SUCCESS"), "error_code": F.lit(None).cast("string")})
+    return scoring.child_rows(made, _edges(s)).select("article_id", "node_id", "child_id", "score", "status", "error_code")
+
+
+ADAPTERS = ("hosted", "label_encoder", "nli", "embedding")
+
+
+def render_labels(s, d):
+    found = {a: templates.load(str(DATA / "templates"), a, "v1") for a in ADAPTERS}
+    return s.createDataFrame([(a, n.id, k, t.render(n, k)) for a, t in found.items() for n in fixture().nodes for k in (1, 2, 3)], "adapter string, node_id string, level int, label string")
+
+
+class _Flaky(models.HashAdapter):
+    """Its calls are rate-limited 0 to 2 times, by a hash, before they succeed."""
+
+    def classify(self, article, node, context):
+        left = [int(_hash_score(article.article_id, f"try:{node.id}") * 3)]
+
+        def call():
+            if left[0]:
+                left[0] -= 1
+                raise RateLimited("http_429")
+            return models.HashAdapter.classify(self, article, node, context)
+
+        return with_retries(call, node.id, 5, lambda _: None)
+
+
+def _hash_score(article: str, child: str) -> float:
+    return int(hashlib.sha256(f"{article}:{child}".encode()).hexdigest()[:8], 16) / 4294967296
+
+
+MODEL = config.LocalModel(adapter="hash", enabled=True, provider="none", model="hash", revision="0000000", device="cpu", batch_size=32, threshold=0.5)
+
+
+def _results(s, d, make=partial(models.HashAdapter, MODEL), prior=None):
+    """Result rows of an adapter over all articles."""
+    inputs = build_inputs(s, d).join(_articles(s, d), "doc_id").drop("doc_id")
+    inputs = staging.stager(s)(inputs, 0)
+    template = templates.load(str(DATA / "templates"), "hash", "v1")
+    key = scoring.key_column({n.id: n.sha256() for n in fixture().nodes}, MODEL.version, "ontology-1", "config-1", "template-1")
+    keep = ("prediction_key", "error_code", "original_chars", "submitted_chars", "truncated", "truncation_strategy", *scoring.TELEMETRY)
+    scorer = scoring.adapter_scorer(inputs, fixture(), make, template, 3, key, prior=prior)
+    return tv.traverse(inputs.select("article_id"), fixture(), scorer, **HIERARCHY, stage=staging.stager(s), keep=keep).withColumn("model_id", F.lit("hash"))
+
+
+RESULT = [*WALK, "task_root", "model_id", "local_threshold", "traversal_threshold", "original_chars", "submitted_chars", "truncated", "truncation_strategy", "status", "error_code", "prediction_key"]
+
+
+def result_rows(s, d):
+    return _results(s, d).select(*RESULT)
+
+
+def resume_union(s, d):
+    """A run that stopped half way and is resumed: rows taken over and rows made anew are the whole run's."""
+    stored = _results(s, d).where(text.hash_score(F.col("article_id"), F.lit("stored")) < 0.5)
+    return _results(s, d, make=partial(models.HashAdapter, MODEL), prior=stored).select(*RESULT)
+
+
+def key_uniqueness(s, d):
+    rows = _results(s, d)
+    return rows.agg(F.count("*").alias("n_rows"), F.countDistinct("prediction_key", "child_id").alias("n_keys")).crossJoin(F.broadcast(results.duplicate_keys(rows).agg(F.count("*").alias("n_duplicates"))))
+
+
+def retry_counts(s, d):
+    rows = _results(s, d, make=partial(_Flaky, MODEL))
+    calls = rows.groupBy("article_id", "node_id").agg(F.max("retry_count").alias("r"))
+    return calls.groupBy("node_id").agg(F.sum(F.col("r").cast("long")).alias("retries"), F.count("*").alias("calls"))
+
+
+def union_models(s, d):
+    one, two = _walk(s, d), _walk(s, d, scorer=tv.failing_scorer)
+    return one.withColumn("model_id", F.lit("a")).unionByName(two.withColumn("model_id", F.lit("b"))).select("model_id", "article_id", "node_id", "child_id", "score", "status")
+
+
+def manifest_status(s, d):
+    done = F.min(F.col("status").isin("SUCCESS", "SKIPPED_BY_ROUTING").cast("int")) == 1
+    return union_models(s, d).groupBy("model_id").agg(F.when(done, F.lit(provenance.COMPLETE)).otherwise(F.lit(provenance.INCOMPLETE)).alias("status"), F.sum((F.col("status") != "SUCCESS").cast("long")).alias("failed_rows"))
+
+
 QUERIES = {f.__name__: f for f in (
+    input_lead, sample_ranked, sample_restriction, task_roots, missing_children, render_labels, result_rows, resume_union, key_uniqueness, retry_counts, union_models, manifest_status,
     canonical_articles, dedup_articles, build_inputs, truncation_audit, sample_topk, sample_manifest_hash, score_children, decide_children, threshold_overrides,
     single_choice, traverse_bfs, traverse_loop_mapinpandas, relevance_routing, leaf_reached, leaf_positives, depth_cap, node_budget, nodes_visited, failure_rows,
     skipped_by_routing, prediction_keys, resume_work, resume_reuse, embedding_similarity, label_permutation, taxonomy_view, ablation_text, returned_versions, path_scores)}
@@ -231,7 +347,7 @@ def _values(rows) -> str:
 
 def _edge_rows(o: onto.Ontology) -> str:
     by = {n.id: n for n in o.nodes}
-    return _values((n, c, k, by[n].type, by[c].type, c.endswith(".none"), by[c].traversal_threshold if by[c].traversal_threshold is not None else 0.3, by[c].positive_threshold if by[c].positive_threshold is not None else 0.5) for n, c, k in o.edges())
+    return _values((n, c, k, by[n].type, by[c].type, by[c].none, by[c].traversal_threshold if by[c].traversal_threshold is not None else 0.3, by[c].positive_threshold if by[c].positive_threshold is not None else 0.5) for n, c, k in o.edges())
 
 
 _WS = r"trim(regexp_replace({}, '[ \t\n\r\f]+', ' ', 'g'))"
@@ -242,6 +358,9 @@ _ARTS = _IDS + "arts AS (SELECT article_id, min(doc_id) AS doc_id FROM ids GROUP
 _HASH = "('0x' || substr(sha256({} || ':' || {}), 1, 8))::BIGINT::DOUBLE / 4294967296"
 
 
+_LABELS = "WITH n(node_id, name, definition, inc, exc) AS (VALUES {}), l AS (SELECT node_id, k::INT AS level, CASE k WHEN 1 THEN name WHEN 2 THEN name || '. ' || definition ELSE name || '. ' || definition || CASE WHEN inc <> '' THEN '. Includes: ' || inc ELSE '' END || CASE WHEN exc <> '' THEN '. Excludes: ' || exc ELSE '' END END AS label FROM n, range(1, 4) r(k))"
+
+
 def _decisions(o: onto.Ontology, failing: bool = False) -> str:
     score = _HASH.format("article_id", "child_id")
     fail = f"({_HASH.format('article_id', chr(39) + 'fail:' + chr(39) + ' || node_id')}) < 0.1" if failing else "false"
@@ -273,6 +392,13 @@ def _oracles() -> dict[str, str]:
     for n in tv._breadth(o):
         for k, c in enumerate(n.children):
             order[c] = f"{order[n.id]}.{k:04d}"
+    status = "SELECT article_id, node_id, child_id, score, CASE WHEN failed THEN 'TIMEOUT' ELSE 'SUCCESS' END AS status FROM w"
+    resulting = walk.rstrip() + f""", x AS (SELECT ids.article_id, h || chr(10) || chr(10) || a AS t FROM ids JOIN norm USING (doc_id) JOIN arts USING (doc_id)),
+i AS (SELECT article_id, length(t)::INT AS original_chars, least(length(t), 12000)::INT AS submitted_chars, length(t) > 12000 AS truncated, CASE WHEN length(t) > 12000 THEN 'head' END AS truncation_strategy, sha256(substr(t, 1, 12000)) AS input_hash FROM x),
+nh(node_id, node_hash) AS (VALUES {_values((n.id, n.sha256()) for n in o.nodes)})
+SELECT {', '.join('w.' + c for c in WALK)}, {_q(o.roots[0])} AS task_root, 'hash' AS model_id, e.pt AS local_threshold, e.tt AS traversal_threshold, original_chars, submitted_chars, truncated, truncation_strategy, 'SUCCESS' AS status, NULL::VARCHAR AS error_code,
+sha256('{MODEL.version}' || chr(31) || input_hash || chr(31) || node_hash || chr(31) || 'ontology-1' || chr(31) || 'config-1' || chr(31) || 'template-1') AS prediction_key
+FROM w JOIN i USING (article_id) JOIN nh USING (node_id) JOIN e ON e.node_id = w.node_id AND e.child_id = w.child_id"""
     second = walk.rstrip() + f", f AS (SELECT article_id, node_id, score IS NULL AS failed FROM ({fail} SELECT * FROM w)) "
     return {
         "canonical_articles": "WITH " + _IDS.rstrip(", ") + " SELECT article_id, source, 'sha256:' || sha256(headline || chr(31) || chr(31) || article || chr(31)) AS source_hash FROM ids",
@@ -303,6 +429,17 @@ def _oracles() -> dict[str, str]:
         "taxonomy_view": _walked(onto.view(o, 2)) + f"SELECT {cols} FROM w",
         "ablation_text": f"WITH n(node_id, name, definition, inc, exc) AS (VALUES {_values((n.id, n.name, n.definition, ', '.join(n.includes), ', '.join(n.excludes)) for n in o.nodes)}) SELECT node_id, k::INT AS level, CASE k WHEN 1 THEN name WHEN 2 THEN name || '. ' || definition ELSE name || '. ' || definition || CASE WHEN inc <> '' THEN '. Includes: ' || inc ELSE '' END || CASE WHEN exc <> '' THEN '. Excludes: ' || exc ELSE '' END END AS label FROM n, range(1, 4) r(k)",
         "returned_versions": walk + f"SELECT node_id, string_agg(DISTINCT CASE WHEN {_HASH.format('article_id', chr(39) + 'version' + chr(39))} < 0.5 THEN 'm-1' ELSE 'm-2' END, ',' ORDER BY CASE WHEN {_HASH.format('article_id', chr(39) + 'version' + chr(39))} < 0.5 THEN 'm-1' ELSE 'm-2' END) AS versions FROM w GROUP BY node_id",
+        "input_lead": "WITH " + _RAW.rstrip(", ") + f" SELECT doc_id, sha256({_WS.format('nfc_normalize(headline)')} || chr(10) || chr(10) || {_WS.format('nfc_normalize(split_part(article, chr(10) || chr(10), 1))')}) AS article_input_hash FROM raw",
+        "sample_ranked": sample + f"SELECT row_number() OVER (ORDER BY sha256('{SEED}:' || article_id), article_id)::INT AS rank, article_id FROM k",
+        "sample_restriction": sample + "SELECT article_id, doc_id FROM arts WHERE article_id IN (SELECT article_id FROM k)",
+        "task_roots": walk + f"SELECT article_id, {_q(o.roots[0])} AS task_root, count(*) AS n_rows FROM w GROUP BY article_id",
+        "missing_children": "WITH " + _decisions(o) + " SELECT article_id, node_id, child_id, CASE WHEN score >= 0.05 THEN score END AS score, CASE WHEN score >= 0.05 THEN 'SUCCESS' ELSE 'MODEL_ERROR' END AS status, CASE WHEN score < 0.05 THEN 'missing_child' END AS error_code FROM d WHERE node_id = 'markets.financing'",
+        "render_labels": _LABELS.format(_values((n.id, n.name, n.definition, ", ".join(n.includes), ", ".join(n.excludes)) for n in o.nodes)) + " SELECT adapter, node_id, level, before || label || after AS label FROM l, (VALUES ('hosted', 'Does the text describe this activity? ', ''), ('label_encoder', '', ''), ('nli', 'This text describes ', '.'), ('embedding', '', '')) t(adapter, before, after)",
+        "result_rows": resulting, "resume_union": resulting,
+        "key_uniqueness": walk + "SELECT count(*) AS n_rows, count(DISTINCT article_id || ' ' || child_id) AS n_keys, 0::BIGINT AS n_duplicates FROM w",
+        "retry_counts": walk + f"SELECT node_id, sum(floor({_HASH.format('article_id', chr(39) + 'try:' + chr(39) + ' || node_id')} * 3))::BIGINT AS retries, count(*) AS calls FROM (SELECT DISTINCT article_id, node_id FROM w) GROUP BY node_id",
+        "union_models": f"SELECT 'a' AS model_id, * FROM ({walk} {status}) UNION ALL SELECT 'b' AS model_id, * FROM ({fail} {status})",
+        "manifest_status": f"SELECT model_id, CASE WHEN bool_and(status = 'SUCCESS') THEN 'COMPLETE' ELSE 'INCOMPLETE' END AS status, count(*) FILTER (WHERE status <> 'SUCCESS') AS failed_rows FROM (SELECT 'a' AS model_id, * FROM ({walk} {status}) UNION ALL SELECT 'b' AS model_id, * FROM ({fail} {status})) GROUP BY model_id",
         "path_scores": walk + "SELECT article_id, child_id, path_score, path_score AS rebuilt FROM w",
         "normalize_ws": f"SELECT doc_id, {_WS.format('text')} AS normalized FROM documents",
         "normalize_nfc": "SELECT doc_id, nfc_normalize(text) AS normalized FROM documents",

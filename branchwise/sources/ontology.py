@@ -7,10 +7,7 @@ import json
 from dataclasses import dataclass, field, replace
 
 import yaml
-from pyspark.sql import DataFrame, SparkSession
-
 TYPES = ("multi_label", "single_choice", "leaf")
-NODES = "node_id string, name string, type string, question string, definition string, includes array<string>, excludes array<string>, synonyms array<string>, basel map<string,string>, traversal_threshold double, positive_threshold double"
 EDGES = "node_id string, child_id string, ordinal int"
 
 
@@ -32,6 +29,10 @@ class Node:
     basel: dict = field(default_factory=dict)
     traversal_threshold: float | None = None
     positive_threshold: float | None = None
+    none: bool = False
+
+    def sha256(self) -> str:
+        return hashlib.sha256(json.dumps(vars(self), sort_keys=True).encode()).hexdigest()
 
 
 @dataclass(frozen=True)
@@ -50,7 +51,11 @@ class Ontology:
 
 def load(path: str) -> Ontology:
     with open(path, encoding="utf-8") as f:
-        raw = yaml.safe_load(f)
+        return parse(f.read())
+
+
+def parse(text: str) -> Ontology:
+    raw = yaml.safe_load(text)
     if unknown := set(raw) - {"id", "version", "roots", "nodes"}:
         raise OntologyError(f"unknown keys: {sorted(unknown)}")
     nodes = []
@@ -83,6 +88,8 @@ def validate(o: Ontology) -> list[str]:
         for t in (n.traversal_threshold, n.positive_threshold):
             if t is not None and not 0 <= t <= 1:
                 errors.append(f"{n.id}: threshold {t}")
+        if n.none and n.type != "leaf":
+            errors.append(f"{n.id}: a none choice must be a leaf")
         for c in n.children:
             parents.setdefault(c, []).append(n.id)
             if c not in by:
@@ -101,12 +108,6 @@ def validate(o: Ontology) -> list[str]:
     return errors
 
 
-def frames(spark: SparkSession, o: Ontology) -> tuple[DataFrame, DataFrame]:
-    """nodes and edges: as small as the file that one driver has loaded."""
-    nodes = [(n.id, n.name, n.type, n.question, n.definition, list(n.includes), list(n.excludes), list(n.synonyms), dict(n.basel), n.traversal_threshold, n.positive_threshold) for n in o.nodes]
-    return spark.createDataFrame(nodes, NODES), spark.createDataFrame(o.edges(), EDGES)
-
-
 def view(o: Ontology, depth: int) -> Ontology:
     """The ontology cut below `depth`; what was inner there becomes a leaf."""
     by, level, kept = {n.id: n for n in o.nodes}, list(o.roots), []

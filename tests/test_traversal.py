@@ -24,7 +24,7 @@ def scored(table):
 
 def rows(spark, table, o=None, **kw):
     arts = spark.createDataFrame([("1",)], "article_id string")
-    return {r.child_id: r for r in tv.traverse(arts, o or small(), scored(table), **kw).collect()}
+    return {r.child_id: r for r in tv.traverse(arts, o or small(), scored(table), **{"traversal": 0.3, "positive": 0.5, "max_depth": 10, "max_nodes": None} | kw).collect()}
 
 
 def test_low_parent_still_descends_and_path_product(spark):
