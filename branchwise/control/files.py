@@ -12,8 +12,8 @@ class Files:
         self._jvm, self._conf = spark._jvm, spark._jsc.hadoopConfiguration()
         self.root = root.rstrip("/")
         self._fs = self.path(self.root).getFileSystem(self._conf)
-        if self._fs.getClass().getSimpleName() == "LocalFileSystem":  # without its hidden checksum files
-            self._fs = self._fs.getRawFileSystem()
+        if self._fs.getScheme() == "file":  # without hidden checksum files
+            self._fs = self._jvm.org.apache.hadoop.fs.FileSystem.getLocal(self._conf).getRaw()
 
     def path(self, name: str):
         return self._jvm.org.apache.hadoop.fs.Path(name)
