@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: The six ASCII white-space characters that end a word.
@@ -44,6 +47,19 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return out
 
 
+def frugal(step: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """step for mapInPandas; at its end the Python worker, which Spark keeps for later tasks, gives free memory back to the system."""
+
+    def run(frames: Iterator) -> Iterator:
+        yield from step(frames)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return run
+
+
 def spent(*tables: DataFrame) -> None:
     """Deletes written tables that nothing reads any more."""
     for t in tables:

@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from branchwise.llm.common import need, table, text_key, written
+from branchwise.llm.common import frugal, need, table, text_key, written
 from branchwise.llm.words import mix, word_hashes
 
 #: Words of a block and blocks of a seed; the first that an item's whole blocks suffice for, with at most MASKS masks.
@@ -159,7 +159,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
                     yield pd.DataFrame(rows, columns=["key", "part", "first", "words", "at", "seeds"])
 
     keyed = need(docs, "text").select(text_key(F.col("text")).alias("key"), "text").where("text IS NOT NULL")
-    stretches = written(keyed.mapInPandas(probe, "key binary, part int, first long, words array<long>, at array<long>, seeds array<long>"), "stretches")
+    stretches = written(keyed.mapInPandas(frugal(probe), "key binary, part int, first long, words array<long>, at array<long>, seeds array<long>"), "stretches")
     hits = stretches.select("key", "part", F.explode(F.arrays_zip("at", "seeds")).alias("h")).select("key", "part", F.col("h.at").alias("at"), F.col("h.seeds").alias("seed"))
     lain = hits.join(seeds, "seed").select("key", "part", "item", (F.col("at") - F.col("item_at")).alias("start")).distinct()
 
@@ -173,7 +173,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
             yield frame[["key", "item", "n_words"]].assign(n_matched=matched, start_word=frame["start"])
 
     held = lain.join(stretches.select("key", "part", "first", "words").dropDuplicates(["key", "part"]), ["key", "part"]).join(items.select("item", F.col("words").alias("item_words"), "n_words"), "item")
-    judged = held.mapInPandas(compare, "key binary, item binary, n_words long, n_matched long, start_word long").where(F.col("n_matched") >= threshold * F.col("n_words"))
+    judged = held.mapInPandas(frugal(compare), "key binary, item binary, n_words long, n_matched long, start_word long").where(F.col("n_matched") >= threshold * F.col("n_words"))
     nameless = F.when(F.col("item_id").isNull(), F.col("item")).alias("nameless")
     best = judged.join(ids, "item").groupBy("key", "item_id", nameless).agg(F.max(F.struct("n_matched", -F.col("start_word"), "n_words")).alias("b"))
     return best.select("key", "item_id", F.col("b.n_words").alias("n_words"), F.col("b.n_matched").alias("n_matched"), (-F.col("b.col2")).alias("start_word"))

@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from branchwise.llm.common import need, table, written
+from branchwise.llm.common import frugal, need, table, written
 from branchwise.llm.words import word_hashes
 
 DOMAINS = ("good", "low", "toxic")
@@ -137,7 +137,7 @@ def posteriors(docs: DataFrame, model: dict, *keep: str) -> DataFrame:
                     out[f"p_{name}"] = p[:, k].astype(float)
                 yield out
 
-    return kept.mapInPandas(score, ", ".join([*(f"`{c}` {kept.schema[c].dataType.simpleString()}" for c in keep), "n_tokens long", *(f"p_{d} double" for d in DOMAINS)]))
+    return kept.mapInPandas(frugal(score), ", ".join([*(f"`{c}` {kept.schema[c].dataType.simpleString()}" for c in keep), "n_tokens long", *(f"p_{d} double" for d in DOMAINS)]))
 
 
 def _mass(name: str) -> Column:
@@ -225,8 +225,9 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS,
     rows are drawn alike, an empty table gives an empty one, and columns of docs
     may have any name. `report` receives targets, reached totals and steps.
     """
-    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
-    scored = written(posteriors(plain, classifier(docs, labels), "row", "doc_id", "text"), "scored")
+    ours = {"n_tokens", *[f"p_{d}" for d in DOMAINS]}
+    names = [f"_bw_{k}" if c in ours else c for k, c in enumerate(docs.columns)]
+    scored = written(posteriors(docs.toDF(*names), classifier(docs, labels), *names), "scored")
     floor = None
     if keep:
         floor = F.when(F.col(f"p_{keep}") >= F.greatest(*[F.col(f"p_{d}") for d in DOMAINS]), 1.0).otherwise(0.0)
@@ -234,7 +235,8 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS,
     if report is not None:
         report.update(found)
     times = copies(rate, rounding, F.col("doc_id"), F.col("text"))
-    return scored.select("row", times.alias("times")).where("times > 0").withColumn("times", F.explode(F.array_repeat(F.lit(1), F.col("times")))).select("row.*")
+    drawn = scored.select(*names, times.alias("_bw_times")).where("_bw_times > 0").withColumn("_bw_times", F.explode(F.array_repeat(F.lit(1), F.col("_bw_times"))))
+    return drawn.select(*names).toDF(*docs.columns)
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

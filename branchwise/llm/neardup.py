@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from branchwise.llm.common import need, table, text_key, written
+from branchwise.llm.common import frugal, need, table, text_key, written
 from branchwise.llm.words import mix, shingles, word_hashes
 
 WORDS, THRESHOLD = 5, 0.8
@@ -158,7 +158,7 @@ def _possible(a: Callable[[str], Column], b: Callable[[str], Column], threshold:
 
 def _split(texts: DataFrame, threshold: float) -> DataFrame:
     """(bucket, key, u, k, n, e) of crowded texts at the shingles that a link needs."""
-    spectra = written(texts.mapInPandas(_spectra, "key binary, n long, e long, s array<long>, c array<long>"), "spectra")
+    spectra = written(texts.mapInPandas(frugal(_spectra), "key binary, n long, e long, s array<long>, c array<long>"), "spectra")
     flat = spectra.select("key", "n", "e", F.explode(F.arrays_zip("s", "c")).alias("x")).select("key", "n", "e", "x.s", "x.c")
     shared = written(flat.groupBy("s").agg(F.count("*").alias("f")).where("f > 1"), "shared")
     order = Window.partitionBy("key").orderBy(F.desc("f"), "s")
@@ -216,7 +216,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     far = 1 - threshold
     keyed = need(docs, "doc_id", "text").withColumn("key", F.when(F.regexp("text", F.lit(_WORDED)), text_key(F.col("text"))))
-    signed = written(keyed.where("key IS NOT NULL").select("key", "text").mapInPandas(_sign, "key binary, bands array<long>").dropDuplicates(["key"]), "signatures")
+    signed = written(keyed.where("key IS NOT NULL").select("key", "text").mapInPandas(frugal(_sign), "key binary, bands array<long>").dropDuplicates(["key"]), "signatures")
     banded = signed.select("key", F.explode("bands").alias("bucket"))
     sizes = written(banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
     banded = written(banded.join(sizes, "bucket"), "banded")
@@ -229,7 +229,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     def verified(pairs: DataFrame) -> DataFrame:
         with_a = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
         with_b = with_a.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
-        return written(with_b.select("a", "b", "text_a", "text_b").mapInPandas(_verify, "a binary, b binary, similarity double"), "verified")
+        return written(with_b.select("a", "b", "text_a", "text_b").mapInPandas(frugal(_verify), "a binary, b binary, similarity double"), "verified")
 
     linked = F.coalesce(F.col("similarity") >= threshold, F.lit(False))  # null: the bound left no room, so it was not verified
     tested, later, roots, rounds = None, None, None, []
