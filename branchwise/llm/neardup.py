@@ -42,6 +42,8 @@ BANDS, ROWS = 25, 5
 CROWD = 8
 #: Leaders of a bucket in the second round; four times as many in each further one.
 LEADERS = 8
+#: Keys of 16 bytes that may be broadcast.
+MOST_SENT = 500_000
 #: Bytes of text that one step of a Python worker takes.
 STEP = 1 << 21
 _WORDED = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
@@ -220,7 +222,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     banded = signed.select("key", F.explode("bands").alias("bucket"))
     sizes = written(banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
     banded = written(banded.join(sizes, "bucket"), "banded")
-    texts = written(keyed.select("key", "text").join(banded.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]), "texts")
+    held = written(banded.select("key").distinct(), "held")
+    # Texts of the few that share a band: up to MOST_SENT keys (8 MB) go to every task, beyond that all texts are shuffled.
+    found = keyed.select("key", "text").join(F.broadcast(held) if held.count() <= MOST_SENT else held, "key", "left_semi")
+    texts = written(found.dropDuplicates(["key"]), "texts")
     whole = {"u": F.lit(1.0), "k": F.lit(1).cast("long"), "n": F.lit(1).cast("long"), "e": F.lit(0).cast("long")}  # the bound says nothing of small buckets
     small = banded.where(F.col("size") <= CROWD).select("bucket", "key", *[v.alias(c) for c, v in whole.items()])
     crowd = texts.join(banded.where(F.col("size") > CROWD).select("key").distinct(), "key", "left_semi")
@@ -284,8 +289,10 @@ def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataF
     Of rows that repeat this id and text one stays. Rows without an id stay if
     no row of their class has one.
     """
-    classes = near_duplicates(docs, threshold).where("doc_id = class_id OR class_id IS NULL").select(F.col("doc_id").alias("_bw_id")).distinct()
-    kept = docs.join(written(classes, "kept"), F.col("doc_id").eqNullSafe(F.col("_bw_id")), "left_semi")
+    stays = F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)) | F.col("class_id").isNull()
+    gone = near_duplicates(docs, threshold).groupBy(F.col("doc_id").alias("_bw_id")).agg(F.max(stays).alias("stays")).where("NOT stays").drop("stays")
+    # Those that go are fewer than those that stay, so their table is the likelier to be broadcast.
+    kept = docs.join(written(gone, "gone"), F.col("doc_id").eqNullSafe(F.col("_bw_id")), "left_anti")
     if docs.groupBy("doc_id").count().where("count > 1").isEmpty():
         return kept
     return kept.withColumn("_bw_key", text_key(F.col("text"))).dropDuplicates(["doc_id", "_bw_key"]).drop("_bw_key")

@@ -95,7 +95,7 @@ def _verdicts(measured: DataFrame, limits: DataFrame) -> DataFrame:
     judged = measured.withColumns({
         "base_failed": (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")), "_bw_row": F.monotonically_increasing_id()
     })
-    # Few groups: AQE broadcasts them where their measured size allows, and else splits skewed sources.
+    # Few groups, in a table of known size: it is broadcast where that allows, and no text is shuffled; else AQE splits skewed sources.
     judged = judged.join(limits, F.col("lang").eqNullSafe(F.col("_bw_l")) & F.col("source").eqNullSafe(F.col("_bw_s")), "left")
     ratios = _ratios()
     within = [ratios[k] <= F.coalesce(F.col(f"{k}_max"), F.lit(float("inf"))) for k in SPREADS]
@@ -112,7 +112,7 @@ def judge(docs: DataFrame) -> DataFrame:
     fences and for the verdicts, and never shuffled.
     """
     own = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *SPREADS, *[f"{k}_max" for k in SPREADS]]
-    return _verdicts(with_metrics(docs.drop(*own)), fences(docs))
+    return _verdicts(with_metrics(docs.drop(*own)), written(fences(docs), "fences"))
 
 
 def verdicts(docs: DataFrame, *keep: str) -> DataFrame:
