@@ -25,6 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from branchwise.llm.bloom import bloom, may_hold
 from branchwise.llm.common import frugal, need, table, text_key, written
 from branchwise.llm.words import mix, word_hashes
 
@@ -32,8 +33,6 @@ from branchwise.llm.words import mix, word_hashes
 SHAPES = ((3, 2), (2, 3), (1, 6), (1, 5), (1, 4), (1, 3), (1, 2), (1, 1))
 MASKS = 16
 THRESHOLD, MIN_WORDS = 0.8, 5
-#: Bits of the filter for each seed, and the least and the most that it has; beyond the most it lets more through, and loses nothing.
-BITS_A_SEED, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 28
 STEP = 1 << 21
 
 
@@ -71,10 +70,6 @@ def masks_for(n: int, threshold: float) -> tuple[tuple[str, ...], int, int]:
     raise ValueError("the threshold must be above 0")
 
 
-def _bits(h: np.ndarray, size: int) -> list[np.ndarray]:
-    return [((h >> np.uint64(s)) & np.uint64(size - 1)).astype(np.int64) for s in (0, 33)]
-
-
 def _steps(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
     size = np.cumsum(frame["text"].str.len().fillna(0)) // STEP
     for _, part in frame.groupby(size.to_numpy(), sort=False):
@@ -119,29 +114,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     lengths = [r[0] for r in items.select("n_words").distinct().collect()]
     masks, widest = sorted({m for n in lengths for m in masks_for(n, threshold)[0]}), max(lengths, default=0)
 
-    size = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_A_SEED * seeds.count()).bit_length()))
-
-    def fill(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        field = np.zeros(size, bool)
-        for frame in frames:
-            for at in _bits(frame["seed"].to_numpy().view(np.uint64), size):
-                field[at] = True
-        yield pd.DataFrame({"field": [np.packbits(field).tobytes()]})
-
-    field = np.zeros(size // 8, np.uint8)
-    for row in seeds.select("seed").mapInPandas(fill, "field binary").toLocalIterator():  # one row of bounded size a task
-        field |= np.frombuffer(bytes(row[0]), np.uint8)
-    shipped = docs.sparkSession.sparkContext.broadcast(field.tobytes())
+    shipped = docs.sparkSession.sparkContext.broadcast(bloom(seeds, "seed"))
 
     def probe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        field = np.unpackbits(np.frombuffer(shipped.value, np.uint8)).view(bool)
         for frame in frames:
             for part in _steps(frame) if masks else ():
                 hashes, bounds = word_hashes(list(part["text"]))
                 found = []
                 for mask, s in zip(masks, masked(hashes, masks), strict=True):
-                    one, two = _bits(s, size)
-                    at = np.flatnonzero(field[one] & field[two])
+                    at = np.flatnonzero(may_hold(shipped.value, s))
                     doc = np.searchsorted(bounds, at, "right") - 1
                     inside = at + len(mask) <= bounds[doc + 1]
                     found.append(pd.DataFrame({"doc": doc[inside], "at": at[inside], "seed": s[at[inside]].view(np.int64)}))

@@ -33,6 +33,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from branchwise.llm.bloom import bloom, may_hold
 from branchwise.llm.common import frugal, need, table, text_key, written
 from branchwise.llm.words import mix, shingles, word_hashes
 
@@ -111,6 +112,20 @@ def _sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"key": part["key"].to_numpy(), "bands": list(band_hashes(signatures(list(part["text"]))))})
 
 
+def _shared_bands(signed: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(bucket, key, size) of the bands that several texts have; a Bloom filter of them keeps most other bands from the shuffle."""
+    shipped = signed.sparkSession.sparkContext.broadcast(bloom(sizes, "bucket"))
+
+    def sift(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                bands, of = np.concatenate(list(frame["bands"])), np.repeat(np.arange(len(frame)), frame["bands"].str.len())
+                stays = may_hold(shipped.value, bands.view(np.uint64))
+                yield pd.DataFrame({"bucket": bands[stays], "key": frame["key"].to_numpy()[of[stays]]})
+
+    return signed.mapInPandas(frugal(sift), "bucket long, key binary").join(sizes, "bucket")
+
+
 def _spectra(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Distinct shingles of each text (s) with their numbers (c), the size n and the repeats e = n - distinct."""
     for frame in frames:
@@ -219,9 +234,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     far = 1 - threshold
     keyed = need(docs, "doc_id", "text").withColumn("key", F.when(F.regexp("text", F.lit(_WORDED)), text_key(F.col("text"))))
     signed = written(keyed.where("key IS NOT NULL").select("key", "text").mapInPandas(frugal(_sign), "key binary, bands array<long>").dropDuplicates(["key"]), "signatures")
-    banded = signed.select("key", F.explode("bands").alias("bucket"))
-    sizes = written(banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
-    banded = written(banded.join(sizes, "bucket"), "banded")
+    sizes = written(signed.select(F.explode("bands").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
+    banded = written(_shared_bands(signed, sizes), "banded")
     held = written(banded.select("key").distinct(), "held")
     # Texts of the few that share a band: up to MOST_SENT keys (8 MB) go to every task, beyond that all texts are shuffled.
     found = keyed.select("key", "text").join(F.broadcast(held) if held.count() <= MOST_SENT else held, "key", "left_semi")
@@ -251,7 +265,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             roots, later = components(links), None
         named = _named(judged, roots)
         settled = named.groupBy("bucket", "key", *AT).agg(F.max((F.col("root") == F.col("led")) | linked).alias("in")).where("NOT in")
-        led = named.select("bucket", F.col("leader").alias("key")).distinct()
+        led = judged.select("bucket", F.col("leader").alias("key")).distinct()
         rest = written(settled.drop("in").join(led, ["bucket", "key"], "left_anti"), "rest")
         members = written(_led(rest, threshold, LEADERS << 2 * (len(rounds) - 1)), "members")
         if members.isEmpty():
@@ -261,7 +275,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         roots = _joined(roots, later)
 
     # What a leader could not rule out: x of its class and y of another one, in one bucket.
-    named = _named(functools.reduce(DataFrame.unionByName, rounds), roots)
+    named = written(_named(functools.reduce(DataFrame.unionByName, rounds), roots), "named")
     # One leader of x is enough, of the first round that has one: y was there too, or left before and has x against its own.
     own = F.min(F.struct("round", F.coalesce(-F.col("similarity"), F.lit(1.0)).alias("away"), "leader", "root")).alias("own")
     x = named.where("root = led").groupBy("bucket", F.col("key").alias("a"), *AT).agg(own)
