@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from branchwise.llm import decontam, linededup, mixing, neardup, quality, repeats, sharding, tokencount, urlfilter, warc
+from branchwise.llm import decontam, linededup, mixing, neardup, periods, quality, rans, repeats, sharding, tokencount, trie, urlfilter, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_sharding": sharding.op8_sharding,
     "op9_suffix_dedup": repeats.op9_suffix_dedup,
     "op10_quality_rules": quality.op10_quality_rules,
+    "op11_rans_ids": rans.op11_rans_ids,
+    "op12_conversation_trie": trie.op12_conversation_trie,
+    "op13_periodic_runs": periods.op13_periodic_runs,
 }
 ORACLE_SQL = {
     "op2_url_filter": urlfilter.ORACLE_SQL,
