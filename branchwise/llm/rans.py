@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -37,7 +38,7 @@ BLOCK, LANES, SEGMENT = 1 << 16, 128, 1 << 20
 LOW = 1 << 31
 #: Bits of the scaled frequencies' sum: at least so many, and so many above those that number the distinct ids.
 LEAST_BITS, SPARE_BITS = 20, 4
-#: Characters of text that are encoded at once.
+#: Bytes of text that are encoded at once.
 STEP = 1 << 22
 END = 1
 SEGMENTS = "part int, seq int, n_docs long, n_ids long, doc_ids binary, nulls binary, lengths binary, ids binary"
@@ -221,35 +222,25 @@ def _segments(docs: DataFrame, tokenizer: str) -> DataFrame:
     def make(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        coder, part, seq, held, texts, names, chars = bpe.encoder(tokenizer), TaskContext.get().partitionId(), 0, [], [], [], 0
+        coder, part, seq, held = bpe.encoder(tokenizer), TaskContext.get().partitionId(), 0, []
         kind = "<u2" if coder.size <= 1 << 16 else "<u4"
 
-        def step() -> None:
-            ids, lengths = coder(texts, END)
-            held.append((list(names), lengths, ids))
-            texts.clear()
-            names.clear()
-
         def take() -> pa.RecordBatch:
-            doc_ids, lengths, ids = [i for h in held for i in h[0]], np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
-            row = (part, seq, len(doc_ids), len(ids), np.array([i or 0 for i in doc_ids], "<i8").tobytes(), np.array([i is None for i in doc_ids]).tobytes(), lengths.astype("<i8").tobytes(), ids.astype(kind).tobytes())
+            doc_ids, lengths, ids = pa.concat_arrays([h[0] for h in held]), np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
+            row = (part, seq, len(doc_ids), len(ids), doc_ids.fill_null(0).to_numpy().astype("<i8").tobytes(), doc_ids.is_null().to_numpy(zero_copy_only=False).tobytes(), lengths.astype("<i8").tobytes(), ids.astype(kind).tobytes())
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
         for frame in frames:
-            for i, text in zip(frame.column(0).to_pylist(), frame.column(1), strict=True):
-                text = text.as_py() or ""
-                texts.append(text)
-                names.append(i)
-                chars += len(text)
-                if chars >= STEP or len(texts) == 1 << 16:
-                    step()
-                    chars = 0
-                    if sum(len(h[2]) for h in held) >= SEGMENT:
-                        yield take()
-                        seq += 1
-        if texts:
-            step()
+            texts = frame.column(1).fill_null("")
+            steps = np.cumsum(pc.binary_length(texts).to_numpy()) // STEP
+            for k in np.unique(steps):
+                a, b = np.searchsorted(steps, [k, k + 1]).tolist()
+                ids, lengths = coder(texts[a:b], END)
+                held.append((frame.column(0)[a:b], lengths, ids))
+                if sum(len(h[2]) for h in held) >= SEGMENT:
+                    yield take()
+                    seq += 1
         if held:
             yield take()
 

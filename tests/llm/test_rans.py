@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyarrow import fs as arrow_fs
 from pyspark.sql import functions as F
@@ -23,11 +24,11 @@ def whole(texts):
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_ids_are_those_of_whole_texts(spark, name):
     coder = bpe.Encoder(public_tokenizers.path(name))
-    assert coder.parted == name.startswith("word")
+    assert bool(coder.pattern) == name.startswith("word")
     texts = ODD + [r[0] or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
     want = [[*e.ids, 1] for e in coder.library.encode_batch_fast(texts, add_special_tokens=False)]
     for cut in (1, 7, len(texts)):  # met words are taken from the table
-        ids, lengths = zip(*[coder(texts[k : k + cut], 1) for k in range(0, len(texts), cut)], strict=True)
+        ids, lengths = zip(*[coder(pa.array(texts[k : k + cut]), 1) for k in range(0, len(texts), cut)], strict=True)
         assert np.concatenate(ids).tolist() == [i for x in want for i in x] and np.concatenate(lengths).tolist() == [len(x) for x in want]
 
 
@@ -35,8 +36,8 @@ def test_words_kept_are_bounded(monkeypatch):
     monkeypatch.setattr(bpe, "MOST_KEPT", 50)
     coder = bpe.Encoder(WORDS)
     for k in range(40):
-        coder([" ".join(f"w{k}x{i}" for i in range(30))], 1)
-        assert len(coder.words) <= 50 + 30
+        coder(pa.array([" ".join(f"w{k}x{i}" for i in range(30))]), 1)
+        assert len(coder.words.number) <= 50 + 31 and len(coder.pieces.number) <= 50 + 61
 
 
 @pytest.mark.parametrize("n", [0, 1, 127, 128, 129, rans.BLOCK - 1, rans.BLOCK, rans.BLOCK + 1, 3 * rans.BLOCK + 77])
