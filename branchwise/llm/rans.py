@@ -1,7 +1,7 @@
 """Token ids in files of interleaved range asymmetric numeral systems under one static frequency table.
 
 One pass encodes the texts in order of doc_id to segments of about a million
-ids; their ids are counted, the counts scaled to a power of two, and that table
+ids and counts these; the counts are added up and scaled to a power of two, and that table
 is shared by all files. A segment is coded as blocks of BLOCK ids, each over
 LANES states that take turns, in 64 bits with 32-bit renormalization, so that a
 block can be decoded by itself, and all blocks of a segment at a time. A file is
@@ -39,9 +39,9 @@ LOW = 1 << 31
 #: Bits of the scaled frequencies' sum: at least so many, and so many above those that number the distinct ids.
 LEAST_BITS, SPARE_BITS = 20, 4
 #: Bytes of text that are encoded at once.
-STEP = 1 << 22
+STEP = 6 << 20
 END = 1
-SEGMENTS = "part int, seq int, n_docs long, n_ids long, doc_ids binary, nulls binary, lengths binary, ids binary"
+SEGMENTS = "part int, seq int, n_docs long, n_ids long, doc_ids binary, nulls binary, lengths binary, ids binary, counts binary"
 FILES = "file string, n_docs long, n_ids long, bytes long"
 RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 _TAIL = struct.Struct("<QI")
@@ -227,7 +227,7 @@ def _segments(docs: DataFrame, tokenizer: str) -> DataFrame:
 
         def take() -> pa.RecordBatch:
             doc_ids, lengths, ids = pa.concat_arrays([h[0] for h in held]), np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
-            row = (part, seq, len(doc_ids), len(ids), doc_ids.fill_null(0).to_numpy().astype("<i8").tobytes(), doc_ids.is_null().to_numpy(zero_copy_only=False).tobytes(), lengths.astype("<i8").tobytes(), ids.astype(kind).tobytes())
+            row = (part, seq, len(doc_ids), len(ids), doc_ids.fill_null(0).to_numpy().astype("<i8").tobytes(), doc_ids.is_null().to_numpy(zero_copy_only=False).tobytes(), lengths.astype("<i8").tobytes(), ids.astype(kind).tobytes(), np.bincount(ids, minlength=coder.size).astype("<i8").tobytes())
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
@@ -250,17 +250,16 @@ def _segments(docs: DataFrame, tokenizer: str) -> DataFrame:
 
 def _counts(segments: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct ids and how often each occurs: as many rows as the vocabulary has at most."""
-    kind = "<u2" if size <= 1 << 16 else "<u4"
 
     def count(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros(size, np.int64)
         for frame in frames:
             for raw in frame.column(0):
-                out += np.bincount(np.frombuffer(raw.as_py(), kind), minlength=size)
+                out += np.frombuffer(raw.as_py(), "<i8")
         seen = np.flatnonzero(out)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(out[seen])], ["id", "n"])
 
-    found = sorted(tuple(r) for r in segments.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n")).collect())
+    found = sorted(tuple(r) for r in segments.select("counts").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n")).collect())
     return np.array([x for x, _ in found], np.int64), np.array([x for _, x in found], np.int64)
 
 
@@ -296,7 +295,7 @@ def write_ids(docs: DataFrame, root: str, tokenizer: str) -> dict:
         if done:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done, strict=True)], ["file", "n_docs", "n_ids", "bytes"])
 
-    files = sorted(tuple(r) for r in segments.mapInArrow(frugal(write), FILES).collect())  # a row a file
+    files = sorted(tuple(r) for r in segments.drop("counts").mapInArrow(frugal(write), FILES).collect())  # a row a file
     spent(segments)
     starts = np.cumsum([0, *[n for _, _, n, _ in files]]).tolist()
     manifest = {"format": "rans", "table_crc32": zlib.crc32(model.to_bytes()), "files": [{"file": f, "docs": d, "ids": n, "bytes": b, "start": s} for (f, d, n, b), s in zip(files, starts, strict=False)]}
