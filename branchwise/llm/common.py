@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import re
 import tempfile
@@ -44,9 +45,34 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
         spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._bw_path = path
+    if _SCOPES:
+        _SCOPES[-1].append(out)
     return out
 
 
+_SCOPES: list[list[DataFrame]] = []
+
+
+@contextlib.contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables written inside are deleted at the end, on failure too, but those that the given function was told to keep."""
+    held, kept = [], []
+    _SCOPES.append(held)
+
+    def keep(table: DataFrame) -> DataFrame:
+        kept.append(table._bw_path)
+        return table
+
+    try:
+        yield keep
+    except BaseException:
+        kept.clear()
+        raise
+    finally:
+        _SCOPES.remove(held)
+        spent(*[t for t in held if t._bw_path not in kept])
+
+
 def frugal(step: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """step for mapInPandas; at its end the Python worker, which Spark keeps for later tasks, gives free memory back to the system."""
 
@@ -61,9 +87,9 @@ def frugal(step: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterato
 
 
 def spent(*tables: DataFrame) -> None:
-    """Deletes written tables that nothing reads any more."""
+    """Deletes written tables that nothing reads any more, with their folders."""
     for t in tables:
-        delete(t.sparkSession, t._bw_path)
+        delete(t.sparkSession, t._bw_path.removesuffix("/table"))
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from branchwise.llm.bloom import bloom, may_hold
-from branchwise.llm.common import frugal, need, table, text_key, written
+from branchwise.llm.common import frugal, need, scratch, table, text_key, written
 from branchwise.llm.words import mix, word_hashes
 
 #: Words of a block and blocks of a seed; the first that an item's whole blocks suffice for, with at most MASKS masks.
@@ -162,13 +162,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """A row for each row of docs and item that it holds: doc_id (null or repeated: as it is), item_id, n_words, n_matched, start_word."""
-    found = written(leaks(docs, benchmark, threshold), "leaks")
+    with scratch() as keep:
+        found = keep(written(leaks(docs, benchmark, threshold), "leaks"))
     return need(docs, "doc_id", "text").select("doc_id", text_key(F.col("text")).alias("key")).join(found, "key").drop("key")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs without the rows whose text holds a benchmark item; rows with a null text stay."""
-    found = written(leaks(docs, benchmark, threshold).select(F.col("key").alias("_bw_leak")).distinct(), "leaks")
+    with scratch() as keep:
+        found = keep(written(leaks(docs, benchmark, threshold).select(F.col("key").alias("_bw_leak")).distinct(), "leaks"))
     return docs.join(found, text_key(F.col("text")) == F.col("_bw_leak"), "left_anti")
 
 

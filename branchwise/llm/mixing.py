@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from branchwise.llm.common import frugal, need, table, written
+from branchwise.llm.common import frugal, need, spent, table, written
 from branchwise.llm.words import word_hashes
 
 DOMAINS = ("good", "low", "toxic")
@@ -227,15 +227,17 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS,
     """
     ours = {"n_tokens", *[f"p_{d}" for d in DOMAINS]}
     names = [f"_bw_{k}" if c in ours else c for k, c in enumerate(docs.columns)]
-    scored = written(posteriors(docs.toDF(*names), classifier(docs, labels), *names), "scored")
+    model, named = classifier(docs, labels), docs.toDF(*names)
+    sums = written(posteriors(named, model), "scored")  # without the texts, which are scored again when they are drawn
     floor = None
     if keep:
         floor = F.when(F.col(f"p_{keep}") >= F.greatest(*[F.col(f"p_{d}") for d in DOMAINS]), 1.0).otherwise(0.0)
-    rate, found = fit_rates(scored.select("n_tokens", *[f"p_{d}" for d in DOMAINS]), targets, floor)
+    rate, found = fit_rates(sums, targets, floor)
+    spent(sums)
     if report is not None:
         report.update(found)
     times = copies(rate, rounding, F.col("doc_id"), F.col("text"))
-    drawn = scored.select(*names, times.alias("_bw_times")).where("_bw_times > 0").withColumn("_bw_times", F.explode(F.array_repeat(F.lit(1), F.col("_bw_times"))))
+    drawn = posteriors(named, model, *names).select(*names, times.alias("_bw_times")).where("_bw_times > 0").withColumn("_bw_times", F.explode(F.array_repeat(F.lit(1), F.col("_bw_times"))))
     return drawn.select(*names).toDF(*docs.columns)
 
 

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from branchwise.llm.bloom import bloom, may_hold
-from branchwise.llm.common import frugal, need, table, text_key, written
+from branchwise.llm.common import frugal, need, scratch, spent, table, text_key, written
 from branchwise.llm.words import mix, shingles, word_hashes
 
 WORDS, THRESHOLD = 5, 0.8
@@ -155,7 +155,8 @@ def components(links: DataFrame) -> DataFrame:
         large = orient(large)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
-        edges = written(orient(small), "edges")
+        edges, old = written(orient(small), "edges"), edges
+        spent(old)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("u").alias("key"), F.col("v").alias("root"))
@@ -182,6 +183,7 @@ def _split(texts: DataFrame, threshold: float) -> DataFrame:
     held = flat.join(shared, "s").withColumns({"u": F.sum("c").over(order.rowsBetween(Window.unboundedPreceding, 0)) / F.col("n"), "k": F.row_number().over(order).cast("long")})
     met = written(held.where(F.col("u") >= threshold - 1e-6).select(F.xxhash64(F.lit("shingle"), "s").alias("bucket"), "key", *AT), "met")
     best = met.groupBy("bucket").agg(F.max("u").alias("bu"), F.max("k").alias("bk"), F.min("n").alias("bn"), F.max("e").alias("be"), F.count("*").alias("members")).where("members > 1")
+    spent(spectra, shared)
     room = met.join(written(best, "best"), "bucket").where(_possible(F.col, lambda c: F.col(f"b{c}"), threshold))
     return room.select("bucket", "key", *AT)
 
@@ -231,11 +233,21 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     count as one shingle. Repeated rows and equal texts share a class. Other
     columns are ignored.
     """
-    far = 1 - threshold
     keyed = need(docs, "doc_id", "text").withColumn("key", F.when(F.regexp("text", F.lit(_WORDED)), text_key(F.col("text"))))
+    with scratch() as keep:
+        roots = keep(_classes(keyed, threshold))
+    placed = keyed.select("doc_id", "key").join(roots, "key", "left").select("doc_id", F.coalesce("root", "key").alias("root"))
+    heads = placed.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return placed.join(heads, "root", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+
+
+def _classes(keyed: DataFrame, threshold: float) -> DataFrame:
+    """(key, root), written: the class of each text that is near another one; the smallest key is the root."""
+    far = 1 - threshold
     signed = written(keyed.where("key IS NOT NULL").select("key", "text").mapInPandas(frugal(_sign), "key binary, bands array<long>").dropDuplicates(["key"]), "signatures")
     sizes = written(signed.select(F.explode("bands").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
     banded = written(_shared_bands(signed, sizes), "banded")
+    spent(signed, sizes)
     held = written(banded.select("key").distinct(), "held")
     # Texts of the few that share a band: up to MOST_SENT keys (8 MB) go to every task, beyond that all texts are shuffled.
     found = keyed.select("key", "text").join(F.broadcast(held) if held.count() <= MOST_SENT else held, "key", "left_semi")
@@ -243,7 +255,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     whole = {"u": F.lit(1.0), "k": F.lit(1).cast("long"), "n": F.lit(1).cast("long"), "e": F.lit(0).cast("long")}  # the bound says nothing of small buckets
     small = banded.where(F.col("size") <= CROWD).select("bucket", "key", *[v.alias(c) for c, v in whole.items()])
     crowd = texts.join(banded.where(F.col("size") > CROWD).select("key").distinct(), "key", "left_semi")
-    members = written(_led(written(small.unionByName(_split(crowd, threshold)), "buckets"), threshold).withColumn("open", F.lit(True)), "members")
+    buckets = written(small.unionByName(_split(crowd, threshold)), "buckets")
+    members = written(_led(buckets, threshold).withColumn("open", F.lit(True)), "members")
+    spent(banded, buckets)
 
     def verified(pairs: DataFrame) -> DataFrame:
         with_a = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
@@ -267,7 +281,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         settled = named.groupBy("bucket", "key", *AT).agg(F.max((F.col("root") == F.col("led")) | linked).alias("in")).where("NOT in")
         led = judged.select("bucket", F.col("leader").alias("key")).distinct()
         rest = written(settled.drop("in").join(led, ["bucket", "key"], "left_anti"), "rest")
+        spent(members)
         members = written(_led(rest, threshold, LEADERS << 2 * (len(rounds) - 1)), "members")
+        spent(rest)
         if members.isEmpty():
             break
 
@@ -292,9 +308,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         more = verified(open_).where(linked).select("a", "b")
         if not more.isEmpty():
             roots = _joined(roots, more)
-    placed = keyed.select("doc_id", "key").join(roots, "key", "left").select("doc_id", F.coalesce("root", "key").alias("root"))
-    heads = placed.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return placed.join(heads, "root", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+    return roots if hasattr(roots, "_bw_path") else written(roots, "roots")
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

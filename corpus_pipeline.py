@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from branchwise.llm import decontam, mixing, neardup, quality, sharding
-from branchwise.llm.common import shared_dir, table
+from branchwise.llm.common import delete, shared_dir, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,4 +54,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{root}/{k}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if k:
+            delete(spark, f"{root}/{k - 1}-{STAGES[k - 1][0]}")  # nothing reads the stage before any more
     return docs
