@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import queue
+import random
+import threading
 import time
 from abc import ABC, abstractmethod
 from collections.abc import Callable
@@ -26,8 +30,12 @@ class ClassificationContext:
     template: Template
     label_level: int
 
+    @functools.cached_property
+    def _labels(self) -> tuple[str, ...]:
+        return tuple(self.template.render(c, self.label_level) for c in self.children)
+
     def labels(self) -> list[str]:
-        return [self.template.render(c, self.label_level) for c in self.children]
+        return list(self._labels)
 
 
 @dataclass(frozen=True)
@@ -50,9 +58,9 @@ class CallFailed(Exception):
 
     status, retryable = "PROVIDER_ERROR", True
 
-    def __init__(self, code: str = ""):
+    def __init__(self, code: str = "", retry_after: float | None = None):
         super().__init__(code)
-        self.code = code or self.status.lower()
+        self.code, self.retry_after = code or self.status.lower(), retry_after
 
 
 class TimedOut(CallFailed):
@@ -86,6 +94,8 @@ class ReturnedModelMismatch(RuntimeError):
 class ClassificationAdapter(ABC):
     #: Logical calls that run at once in one worker.
     concurrency = 1
+    #: Python packages whose versions the manifest names.
+    libraries: tuple[str, ...] = ()
 
     @abstractmethod
     def classify(self, article: ArticleInput, node: Node, context: ClassificationContext) -> NodeDecision: ...
@@ -98,15 +108,46 @@ class ClassificationAdapter(ABC):
             return list(pool.map(lambda x: self.classify(*x), items))
 
 
-def with_retries(call: Callable[[], NodeDecision], node_id: str, retries: int, wait: Callable[[float], None] = time.sleep) -> NodeDecision:
-    """The call's decision, or its last failure's status; only retryable failures are tried again."""
+def within(seconds: float, call: Callable[[], NodeDecision]) -> NodeDecision:
+    """The call's result; TimedOut if it has not come after so many seconds, whatever the call is waiting for.
+
+    The call goes on in a thread that nobody waits for, as Python cannot end it.
+    """
+    answer: queue.SimpleQueue = queue.SimpleQueue()
+
+    def run() -> None:
+        try:
+            answer.put((call(), None))
+        except BaseException as e:  # handed to the caller
+            answer.put((None, e))
+
+    threading.Thread(target=run, daemon=True).start()
+    try:
+        done, error = answer.get(timeout=seconds)
+    except queue.Empty:
+        raise TimedOut("deadline") from None
+    if error is not None:
+        raise error
+    return done
+
+
+#: Seconds of the longest wait that a provider's Retry-After is believed for, and of the longest of our own.
+LONGEST_ASKED, LONGEST_WAIT = 120.0, 30.0
+
+
+def with_retries(call: Callable[[], NodeDecision], node_id: str, retries: int, wait: Callable[[float], None] = time.sleep, deadline: float | None = None, jitter: Callable[[], float] = random.random) -> NodeDecision:
+    """The call's decision, or its last failure's status; only retryable failures are tried again.
+
+    Waits double from half a second, each up to half as long again by `jitter`,
+    and last at least as long as the provider asks. deadline: seconds of one attempt.
+    """
     began = time.monotonic()
     for attempt in range(retries + 1):
         try:
-            done = call()
+            done = call() if deadline is None else within(deadline, call)
             return replace(done, retry_count=attempt, latency_ms=(time.monotonic() - began) * 1000 if done.latency_ms is None else done.latency_ms)
         except CallFailed as e:
             if not e.retryable or attempt == retries:
                 return NodeDecision(node_id, status=e.status, error_code=e.code, retry_count=attempt, latency_ms=(time.monotonic() - began) * 1000)
-            wait(min(30.0, 0.5 * 2**attempt))
+            wait(max(min(LONGEST_WAIT, 0.5 * 2**attempt) * (1 + jitter() / 2), min(LONGEST_ASKED, e.retry_after or 0.0)))
     raise AssertionError("unreachable")

@@ -13,6 +13,7 @@ from branchwise.adapters.base import (
     ReturnedModelMismatch, TimedOut, with_retries,
 )
 from branchwise.control.config import HostedModel, LocalModel, secret
+from branchwise.functions.text import hashed
 from branchwise.sources.ontology import Node
 
 #: HTTP status codes of a hosted model's failures.
@@ -23,8 +24,9 @@ Transport = Callable[[dict, str, float], tuple[int, dict]]
 class HostedAdapter(ClassificationAdapter):
     """Typed decisions of a hosted model: one choice for exclusive nodes, else a yes-or-no decision for each child.
 
-    transport(request, api_key, timeout_seconds) returns an HTTP status and a body
-    {"model", "scores", "usage"}; it may raise TimeoutError or OSError.
+    transport(request, api_key, timeout_seconds) returns an HTTP status, a body
+    {"model", "scores", "usage"} and, if it has any, headers; it may raise
+    TimeoutError or OSError. One that hangs is left after timeout_seconds.
     """
 
     def __init__(self, model: HostedModel, transport: Transport, wait: Callable[[float], None] | None = None, concurrency: int | None = None):
@@ -37,11 +39,11 @@ class HostedAdapter(ClassificationAdapter):
             "model": self.model.model, "text": article.text, "question": node.question, "decision": kind,
             "options": [{"id": c.id, "text": t} for c, t in zip(context.children, context.labels(), strict=True)],
         }
-        return with_retries(lambda: self._call(request, node), node.id, self.model.retries, **self.wait)
+        return with_retries(lambda: self._call(request, node), node.id, self.model.retries, deadline=self.model.timeout_seconds, **self.wait)
 
     def _call(self, request: dict, node: Node) -> NodeDecision:
         try:
-            code, body = self.transport(request, secret(self.model.api_key_env), self.model.timeout_seconds)
+            code, body, *headers = self.transport(request, secret(self.model.api_key_env), self.model.timeout_seconds)
         except TimeoutError as e:
             raise TimedOut("timeout") from e
         except OSError as e:
@@ -49,7 +51,7 @@ class HostedAdapter(ClassificationAdapter):
         if code in (401, 403):
             raise AuthenticationFailed(f"{self.model.provider}: HTTP {code}")
         if code != 200:
-            raise _FAILURES.get(code, ProviderError if code >= 500 else InvalidRequest)(f"http_{code}")
+            raise _FAILURES.get(code, ProviderError if code >= 500 else InvalidRequest)(f"http_{code}", _retry_after(*headers))
         if (returned := body.get("model")) is not None and returned != self.model.model and not self.model.allow_returned_model_mismatch:
             raise ReturnedModelMismatch(f"asked for {self.model.model}, answered by {returned}")
         usage = body.get("usage") or {}
@@ -58,6 +60,15 @@ class HostedAdapter(ClassificationAdapter):
             provider_cost_usd=usage.get("cost_usd"), raw_response=json.dumps(body, sort_keys=True))
 
 
+def _retry_after(headers: dict | None = None) -> float | None:
+    """Seconds that a provider asks to wait for; a date is not taken as one."""
+    value = next((v for k, v in (headers or {}).items() if k.lower() == "retry-after"), None)
+    try:
+        return max(0.0, float(value))
+    except (TypeError, ValueError):
+        return None
+
+
 def normalized(scores) -> dict[str, float]:
     """{child: score}, also of [{"id", "score"}]."""
     if isinstance(scores, list):
@@ -108,11 +119,20 @@ class NliAdapter(_Local):
 
 
 class EmbeddingAdapter(_Local):
-    """backend([text]) gives vectors; a score is the cosine of text and label, 0 where it is negative."""
+    """backend([text]) gives vectors; a score is the cosine of text and label, 0 where it is negative.
+
+    Vectors of labels, of which an ontology has a bounded number, are kept.
+    """
+
+    def __init__(self, model: LocalModel, backend: Callable):
+        super().__init__(model, backend)
+        self.known: dict[str, Sequence[float]] = {}
 
     def scores(self, pairs):
-        texts = list(dict.fromkeys(x for text, labels in pairs for x in (text, *labels)))
-        at = dict(zip(texts, self.backend(texts), strict=True))
+        labels = {x for _, ls in pairs for x in ls}
+        texts = list(dict.fromkeys([*(text for text, _ in pairs), *sorted(labels - self.known.keys())]))
+        at = self.known | dict(zip(texts, self.backend(texts), strict=True))
+        self.known |= {x: at[x] for x in labels}
         return [[cosine(at[text], at[x]) for x in labels] for text, labels in pairs]
 
 
@@ -139,8 +159,7 @@ class HashAdapter(ClassificationAdapter):
         self.model = model
 
     def classify(self, article, node, context):
-        score = lambda c: int(hashlib.sha256(f"{article.article_id}:{c.id}".encode()).hexdigest()[:8], 16) / 4294967296
-        return NodeDecision(node.id, {c.id: score(c) for c in context.children}, returned_version=self.model.version)
+        return NodeDecision(node.id, {c.id: hashed(article.article_id, c.id) for c in context.children}, returned_version=self.model.version)
 
 
 def offline(name: str, model: HostedModel | LocalModel) -> ClassificationAdapter:

@@ -205,7 +205,7 @@ class Config(Strict):
         return self.model_dump(mode="json")
 
 
-class _UniqueKeys(yaml.SafeLoader):
+class UniqueKeys(yaml.SafeLoader):
     def construct_mapping(self, node, deep=False):
         seen = [self.construct_object(k, deep=True) for k, _ in node.value]
         if len(seen) != len(set(seen)):
@@ -215,7 +215,7 @@ class _UniqueKeys(yaml.SafeLoader):
 
 def parse(text: str) -> Config:
     try:
-        raw = yaml.load(text, _UniqueKeys)  # noqa: S506  a SafeLoader
+        raw = yaml.load(text, UniqueKeys)  # noqa: S506  a SafeLoader
         return Config.model_validate(raw)
     except (yaml.YAMLError, ValidationError) as e:
         raise ConfigError(str(e)) from e

@@ -9,10 +9,11 @@ from pyspark.sql import SparkSession
 
 class Files:
     def __init__(self, spark: SparkSession, root: str):
-        self._jvm, self._conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        self._jvm, self._conf, self._gateway = spark._jvm, spark._jsc.hadoopConfiguration(), spark.sparkContext._gateway
         self.root = root.rstrip("/")
         self._fs = self.path(self.root).getFileSystem(self._conf)
-        if self._fs.getScheme() == "file":  # without hidden checksum files
+        self._local = self._fs.getUri().getScheme() == "file"
+        if self._local:  # without hidden checksum files
             self._fs = self._jvm.org.apache.hadoop.fs.FileSystem.getLocal(self._conf).getRaw()
 
     def path(self, name: str):
@@ -32,20 +33,42 @@ class Files:
             stream.close()
 
     def write(self, name: str, text: str) -> None:
-        """Whole or not at all: under a temporary name beside the root first."""
+        """Whole or not at all: under a temporary name beside the root first, then renamed over what is there, which is never deleted before."""
         temporary = self.path(f"{self.root}.tmp-{uuid.uuid4().hex}")
         out = self._fs.create(temporary, True)
         out.write(bytearray(text.encode()))
         out.close()
         self._fs.mkdirs(self.path(name).getParent())
-        self._fs.delete(self.path(name), False)
-        if not self._fs.rename(temporary, self.path(name)):
-            raise OSError(f"could not write {name}")
+        self._swap(temporary, self.path(name))
+
+    def _swap(self, temporary, final) -> None:
+        if self._local:  # a rename there replaces a file at once
+            if not self._fs.rename(temporary, final):
+                raise OSError(f"could not write {final}")
+            return
+        hadoop = self._jvm.org.apache.hadoop.fs
+        options = self._gateway.new_array(hadoop.Options.Rename, 1)
+        options[0] = hadoop.Options.Rename.OVERWRITE
+        hadoop.FileContext.getFileContext(final.toUri(), self._conf).rename(temporary, final, options)
 
     def move(self, a: str, b: str) -> None:
-        self._fs.mkdirs(self.path(b).getParent())
-        if not self._fs.rename(self.path(a), self.path(b)):
-            raise OSError(f"could not move {a}")
+        """Also from another file system, whose file is then copied."""
+        a, b = self.path(a), self.path(b)
+        self._fs.mkdirs(b.getParent())
+        other = a.getFileSystem(self._conf)
+        if other.getUri().toString() == self._fs.getUri().toString():
+            if not self._fs.rename(a, b):
+                raise OSError(f"could not move {a}")
+        elif not self._jvm.org.apache.hadoop.fs.FileUtil.copy(other, a, self._fs, b, True, self._conf):
+            raise OSError(f"could not copy {a}")
+
+    def seal(self, folder: str) -> None:
+        """Nobody writes to the folder any more."""
+        permission = self._jvm.org.apache.hadoop.fs.permission.FsPermission
+        for name in self.walk(folder):
+            self._fs.setPermission(self.path(f"{folder}/{name}"), permission("444"))
+        for name in sorted({"", *(x.rpartition("/")[0] for x in self.walk(folder)), *(x.partition("/")[0] for x in self.walk(folder) if "/" in x)}):
+            self._fs.setPermission(self.path(f"{folder}/{name}".rstrip("/")), permission("555"))
 
     def delete(self, name: str) -> None:
         self._fs.delete(self.path(name), True)

@@ -18,6 +18,7 @@ from branchwise.control.config import Config, ConfigError, HostedModel, LocalMod
 from branchwise.control.files import Files
 from branchwise.functions import text
 from branchwise.operators import scoring, staging, traversal as tv
+from branchwise.sinks import results
 from branchwise.sinks.results import TABLE, RunFolder
 from branchwise.sources import articles as src, ontology as onto, templates
 
@@ -47,8 +48,8 @@ class Prepared:
         return {"identity": self.digest, "dataset": c.config.dataset.file_sha256, "sample": self.sample_hash, "ontology": c.ontology_hash, "templates": {k: t.sha256 for k, t in c.templates.items()}}
 
 
-def validate(config: Config, repository: str = REPOSITORY) -> Checked:
-    """All that can be checked without Spark and without a call; fails at the first fault."""
+def validate(config: Config, repository: str = REPOSITORY, code: provenance.GitState | None = None) -> Checked:
+    """All that can be checked without Spark and without a call; fails at the first fault. code: the state of the code, else found in `repository`."""
     with open(config.ontology.path, "rb") as f:
         raw = f.read()
     if (found := sha256(raw)) != config.ontology.sha256:
@@ -63,7 +64,7 @@ def validate(config: Config, repository: str = REPOSITORY) -> Checked:
     if not config.enabled():
         raise ConfigError("no model is enabled")
     check_credentials(config)
-    git = provenance.git_state(repository)
+    git = code or provenance.code_state(repository)
     provenance.check_git(config, git)
     used = {name: templates.load(config.templates.directory, m.adapter, config.templates.version) for name, m in config.enabled().items()}
     return Checked(config, o, o.sha256(), used, git)
@@ -104,6 +105,10 @@ def inputs(spark: SparkSession, config: Config, sample: DataFrame) -> DataFrame:
     return made.select("article_id", *[c.alias(k) for k, c in text.truncation(F.col("t"), config.input.max_chars).items()]).withColumn("article_input_hash", F.sha2("input_text", 256))
 
 
+def _speculates(spark: SparkSession) -> bool:
+    return spark.sparkContext.getConf().get("spark.speculation", "false").lower() == "true"
+
+
 def _make(registry: Registry, name: str, model, share: int | None) -> ClassificationAdapter:
     made = registry(name, model)
     if share:
@@ -115,10 +120,15 @@ def run(spark: SparkSession, prepared: Prepared, registry: Registry = models.off
     """Classifies the sample with each enabled model and stores rows and manifest.
 
     Without `resume` the identity must be new, but that several calls may each
-    add a model (`only`). With it, successful calls of the stored run are taken
-    over by prediction key, and just the rest are made. One model's rows replace
-    its older ones as a whole, so a reader sees either.
+    add a model (`only`). With it, successful calls of the journal, which has
+    each level that any attempt has ended, and of the stored rows are taken over
+    by prediction key, and just the rest are made. One model's rows replace its
+    older ones when the manifest names them, so a reader sees either. A run is
+    COMPLETE if no row failed and its rows are those that they plan themselves;
+    then its folder is sealed, and resuming it does nothing.
     """
+    if _speculates(spark) and any(isinstance(m, HostedModel) for m in prepared.checked.config.enabled(only).values()):
+        raise ConfigError("spark.speculation would make paid calls twice and pass a model's concurrency")
     checked, config = prepared.checked, prepared.checked.config
     chosen, started = config.enabled(only), datetime.now(UTC).isoformat()
     name = RunFolder.find(spark, config.output, prepared.digest)
@@ -130,26 +140,49 @@ def run(spark: SparkSession, prepared: Prepared, registry: Registry = models.off
     earlier = json.loads(folder.manifest() or "{}")
     if earlier and earlier["identity_sha256"] != prepared.digest:
         raise ConfigError(f"{folder.run_id} is of another identity")
-    said, retried = dict(earlier.get("models", {})), dict(earlier.get("retry_counts", {}))
-    note = partial(provenance.manifest, config, folder.run_id, git=checked.git, hashes=prepared.hashes(), sample_size=prepared.sample_size, models=said, started=earlier.get("started_at", started), retries=retried)
+    if earlier.get("status") == provenance.COMPLETE:
+        return folder
+    said, retried, live, libraries = (dict(earlier.get(k, {})) for k in ("models", "retry_counts", "live", "libraries"))
+    note = partial(provenance.manifest, config, folder.run_id, git=checked.git, hashes=prepared.hashes(), sample_size=prepared.sample_size, models=said, started=earlier.get("started_at", started), retries=retried, live=live)
     folder.write_manifest(provenance.to_json(note(status=provenance.RUNNING, completed=None)))
+    folder.sweep()
     sample = spark.read.schema(src.SAMPLE).parquet(prepared.sample_path)
-    seen = staging.stager(spark)(inputs(spark, config, sample), 0)
-    for model_id, model in chosen.items():
-        rows = classify(spark, prepared, model_id, model, seen, registry, folder)
-        folder.write(rows, model_id)
-        stored = folder.read(model_id)
-        facts = stored.agg(F.array_sort(F.collect_set("returned_version")), F.sum(F.when(F.col("retry_count") > 0, F.col("retry_count")).otherwise(0)), F.sum((~F.col("status").isin("SUCCESS", "SKIPPED_BY_ROUTING")).cast("long"))).first()
-        if isinstance(model, HostedModel) and not model.allow_returned_model_mismatch and set(facts[0]) - {model.model}:
-            raise ReturnedModelMismatch(f"{model_id}: asked for {model.model}, answered by {facts[0]}")
-        said[model_id] = {"requested": model.version, "returned_versions": facts[0], "failed_rows": int(facts[2] or 0)}
-        retried[model_id] = int(facts[1] or 0)
-    done = set(said) >= set(config.enabled()) and not any(m["failed_rows"] for m in said.values())
-    folder.write_manifest(provenance.to_json(note(status=provenance.COMPLETE if done else provenance.INCOMPLETE, completed=datetime.now(UTC).isoformat())))
+    stage = staging.stager(spark)
+    try:
+        seen = stage(inputs(spark, config, sample), 0)
+        for model_id, model in chosen.items():
+            libraries[model_id] = list(registry(model_id, model).libraries)
+            _store(spark, prepared, model_id, model, seen, registry, folder, said, retried, live)
+            folder.write_manifest(provenance.to_json(note(status=provenance.RUNNING, completed=None)))
+            folder.sweep()
+    finally:
+        Files(spark, stage.root).delete(stage.root)
+    done = set(said) >= set(config.enabled()) and not any(m["failed_rows"] or m["unreconciled"] for m in said.values())
+    named = tuple(sorted({x for xs in libraries.values() for x in xs}))
+    folder.write_manifest(provenance.to_json(note(status=provenance.COMPLETE if done else provenance.INCOMPLETE, completed=datetime.now(UTC).isoformat(), libraries=named)))
     folder.guard()
+    if done:
+        folder.files.seal(folder.root)
     return folder
 
 
+def _store(spark: SparkSession, prepared: Prepared, model_id: str, model: HostedModel | LocalModel, seen: DataFrame, registry: Registry, folder: RunFolder, said: dict, retried: dict, live: dict) -> None:
+    """One model's rows as a generation that the next manifest names; rows that must not count never do."""
+    config, walk = prepared.checked.config, prepared.checked.config.hierarchy.traversal
+    generation = folder.write(classify(spark, prepared, model_id, model, seen, registry, folder), model_id)
+    stored = folder.read(model_id, {model_id: generation})
+    if stored is None:
+        stored = spark.createDataFrame([], TABLE)
+    if not results.duplicate_keys(stored).isEmpty():
+        raise RuntimeError(f"{folder.run_id}: {model_id} has rows with one key")
+    lost = tv.reconcile(stored, seen.select("article_id"), prepared.checked.ontology, walk.max_depth, walk.max_nodes_per_article).count()
+    facts = stored.agg(F.array_sort(F.collect_set("returned_version")), F.sum(F.when(F.col("retry_count") > 0, F.col("retry_count")).otherwise(0)), F.sum((~F.col("status").isin("SUCCESS", "SKIPPED_BY_ROUTING")).cast("long"))).first()
+    if isinstance(model, HostedModel) and not model.allow_returned_model_mismatch and set(facts[0]) - {model.model}:
+        raise ReturnedModelMismatch(f"{model_id}: asked for {model.model}, answered by {facts[0]}")
+    said[model_id] = {"requested": model.version, "returned_versions": facts[0], "failed_rows": int(facts[2] or 0), "unreconciled": lost}
+    retried[model_id], live[model_id] = int(facts[1] or 0), generation
+
+
 def classify(spark: SparkSession, prepared: Prepared, model_id: str, model: HostedModel | LocalModel, seen: DataFrame, registry: Registry, folder: RunFolder) -> DataFrame:
     """Result rows of one model. Each level's calls are written before their rows are read twice."""
     checked, config = prepared.checked, prepared.checked.config
@@ -162,9 +195,12 @@ def classify(spark: SparkSession, prepared: Prepared, model_id: str, model: Host
         share = max(1, model.concurrency // parts)
     make = partial(_make, registry, model_id, model, share)
     columns = ["input_text", "article_input_hash", "original_chars", "submitted_chars", "truncated", "truncation_strategy"]
-    scorer = scoring.adapter_scorer(seen.select("article_id", *columns), o, make, template, config.templates.label_level, key, parts, folder.read(model_id))
+    journal = staging.Journal(spark, f"{config.output.work_directory.rstrip('/')}/journal/{prepared.digest}/{model_id}")
+    known = ["prediction_key", "node_id", "child_id", "score", "status", *scoring.TELEMETRY]
+    found = [x.select(known) for x in (journal.rows(), folder.read(model_id)) if x is not None]
+    scorer = scoring.adapter_scorer(seen.select("article_id", *columns), o, make, template, config.templates.label_level, key, parts, reduce(DataFrame.unionByName, found) if found else None)
     keep = ("prediction_key", "error_code", "original_chars", "submitted_chars", "truncated", "truncation_strategy", *scoring.TELEMETRY)
-    rows = tv.traverse(seen.select("article_id"), o, scorer, traversal=walk.threshold, positive=positive, max_depth=walk.max_depth, max_nodes=walk.max_nodes_per_article, stage=staging.stager(spark), keep=keep)
+    rows = tv.traverse(seen.select("article_id"), o, scorer, traversal=walk.threshold, positive=positive, max_depth=walk.max_depth, max_nodes=walk.max_nodes_per_article, stage=journal.stage, keep=keep)
     rows = rows.select(*tv.COLUMNS, *keep)
     if config.output.materialize_skipped:
         edges = tv.children(spark, o, walk.threshold, positive).select("node_id", "child_id", "traversal_threshold", "local_threshold")
@@ -180,13 +216,10 @@ def classify(spark: SparkSession, prepared: Prepared, model_id: str, model: Host
 
 
 def _depths(o: onto.Ontology) -> tuple[dict[str, int], dict[str, str]]:
-    depths, roots, by = dict.fromkeys(o.roots, 0), {r: r for r in o.roots}, {n.id: n for n in o.nodes}
-    todo = list(o.roots)
-    while todo:
-        n = todo.pop()
+    depths, roots, by = o.depths(), {r: r for r in o.roots}, {n.id: n for n in o.nodes}
+    for n in sorted(depths, key=depths.get):
         for c in by[n].children:
-            depths[c], roots[c] = depths[n] + 1, roots[n]
-            todo.append(c)
+            roots[c] = min(roots.get(c, roots[n]), roots[n])
     return depths, roots
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import unicodedata
 
 import pandas as pd
@@ -69,5 +70,10 @@ def hash_score(article: Column, child: Column) -> Column:
     return F.conv(F.substring(F.sha2(F.concat(article, F.lit(":"), child), 256), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
+def hashed(article: str, child: str) -> float:
+    """hash_score of plain strings."""
+    return int(hashlib.sha256(f"{article}:{child}".encode()).hexdigest()[:8], 16) / 4294967296
+
+
 def prediction_key(*parts: Column) -> Column:
     return F.sha2(F.concat_ws(SEPARATOR, *parts), 256)

@@ -14,12 +14,16 @@ from branchwise.sources.templates import Template
 TELEMETRY = {
     "returned_version": "string", "latency_ms": "double", "input_tokens": "long", "output_tokens": "long", "provider_cost_usd": "double", "retry_count": "int", "raw_response": "string",
 }
-DECISION = ", ".join(["article_id string", "node_id string", "scores map<string,double>", "call_status string", "error_code string", *(f"{k} {t}" for k, t in TELEMETRY.items())])
+DECISION = {"scores": "map<string,double>", "call_status": "string", "error_code": "string"} | TELEMETRY
 
 
 def decisions(calls: DataFrame, o: Ontology, make: Callable[[], ClassificationAdapter], template: Template, level: int, batch: int = 256) -> DataFrame:
-    """A row a call (article_id, node_id, input_text): scores, status, telemetry. The adapter is made once a task."""
+    """calls (article_id, node_id, input_text and what else they carry) without their text, with scores, status and telemetry.
+
+    The adapter, and each node's labels, are made once a task; calls of one node follow each other.
+    """
     by: dict[str, Node] = {n.id: n for n in o.nodes}
+    carried = [f for f in calls.schema.fields if f.name != "input_text"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         adapter, contexts = make(), {}
@@ -30,17 +34,16 @@ def decisions(calls: DataFrame, o: Ontology, make: Callable[[], ClassificationAd
                     if node not in contexts:
                         contexts[node] = ClassificationContext(tuple(by[c] for c in by[node].children), template, level)
                     items.append((ArticleInput(article, text or ""), by[node], contexts[node]))
-                yield _frame(part, adapter.classify_batch(items))
+                yield _frame(part.drop(columns="input_text"), adapter.classify_batch(items))
 
-    return calls.select("article_id", "node_id", "input_text").mapInPandas(run, DECISION)
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in carried), *(f"{k} {t}" for k, t in DECISION.items())])
+    return calls.sortWithinPartitions("node_id").mapInPandas(run, schema)
 
 
 def _frame(part: pd.DataFrame, made: list[NodeDecision]) -> pd.DataFrame:
-    columns = {k: [getattr(d, k) for d in made] for k in TELEMETRY}
-    out = pd.DataFrame({
-        "article_id": part["article_id"].to_numpy(), "node_id": [d.node_id for d in made], "scores": [d.scores for d in made], "call_status": [d.status for d in made],
-        "error_code": [d.error_code for d in made], **columns})
-    return out.astype({"input_tokens": "Int64", "output_tokens": "Int64", "latency_ms": "Float64", "provider_cost_usd": "Float64"})
+    columns = {k: pd.Series([getattr(d, k) for d in made], part.index, dtype=object) for k in TELEMETRY}
+    out = part.assign(scores=pd.Series([d.scores for d in made], part.index), call_status=[d.status for d in made], error_code=[d.error_code for d in made], **columns)
+    return out.astype({"input_tokens": "Int64", "output_tokens": "Int64", "latency_ms": "Float64", "provider_cost_usd": "Float64", "retry_count": "Int64"})
 
 
 def child_rows(made: DataFrame, edges: DataFrame) -> DataFrame:
@@ -64,28 +67,28 @@ def key_column(node_hashes: dict[str, str], model_version: str, ontology_hash: s
 def adapter_scorer(inputs: DataFrame, o: Ontology, make: Callable[[], ClassificationAdapter], template: Template, level: int, key: Column, parts: int | None = None, prior: DataFrame | None = None):
     """A scorer by node for traverse(). inputs: article_id, input_text, article_input_hash, original_chars and so on.
 
-    Text is joined at each level and not carried along. prior: earlier result
-    rows; a call whose prediction_key succeeded there is not made again, and its
-    rows are taken over. Calls are dealt to `parts` tasks, which with the
-    adapter's own concurrency bounds how many run at once.
+    Text is joined once at each level and ends in the adapter; what else a row
+    carries goes through with it. prior: rows of earlier results or journals; a
+    call that succeeded there for every child is not made again. Calls are dealt
+    to `parts` tasks, which with the adapter's own concurrency bounds how many
+    run at once.
     """
-    known = inputs.columns
+    children = F.create_map(*[F.lit(x) for n in o.nodes if n.children for x in (n.id, len(n.children))])
 
-    def score(front: DataFrame, edges: DataFrame) -> DataFrame:
+    def score(front: DataFrame) -> DataFrame:
         calls = front.join(inputs, "article_id").withColumn("prediction_key", key)
-        fresh = calls
-        if prior is not None:
-            whole = prior.groupBy("prediction_key").agg(F.min(((F.col("status") == "SUCCESS") & F.col("score").isNotNull()).cast("int")).alias("good")).where("good = 1").select("prediction_key")
-            done = prior.join(whole, "prediction_key", "left_semi").select("prediction_key", "child_id", "score", *TELEMETRY)
-            fresh = calls.join(whole, "prediction_key", "left_anti")
-            keep = [c for c in front.columns if c != "article_id"]
-            reused = calls.select("article_id", *keep, "prediction_key", *[c for c in known if c not in ("article_id", "input_text")]).join(edges, "node_id").join(done, ["prediction_key", "child_id"])
-            reused = reused.withColumns({"status": F.lit("SUCCESS"), "error_code": F.lit(None).cast("string")})
-        # An explicit number of partitions: adaptive execution would merge them and change how many calls run at once.
-        dealt = fresh.repartition(parts, "article_id", "node_id") if parts else fresh
-        made = decisions(dealt, o, make, template, level)
-        rows = child_rows(made.join(fresh.drop("input_text"), ["article_id", "node_id"]), edges)
-        return rows if prior is None else rows.unionByName(reused.select(rows.columns))
+        if prior is None:
+            return decisions(_dealt(calls, parts), o, make, template, level)
+        good = prior.where((F.col("status") == "SUCCESS") & F.col("score").isNotNull()).dropDuplicates(["prediction_key", "child_id"])
+        known = good.groupBy("prediction_key", "node_id").agg(F.map_from_entries(F.collect_list(F.struct("child_id", "score"))).alias("scores"), F.max(F.struct(*TELEMETRY)).alias("t"))
+        known = known.where(F.size("scores") == F.element_at(children, F.col("node_id"))).select("prediction_key", "scores", F.lit("SUCCESS").alias("call_status"), F.lit(None).cast("string").alias("error_code"), *[F.col(f"t.{k}").alias(k) for k in TELEMETRY])
+        made = decisions(_dealt(calls.join(known.select("prediction_key"), "prediction_key", "left_anti").select(calls.columns), parts), o, make, template, level)
+        return made.unionByName(calls.drop("input_text").join(known, "prediction_key"))
 
     score.by_node = True
     return score
+
+
+def _dealt(calls: DataFrame, parts: int | None) -> DataFrame:
+    # An explicit number of partitions: adaptive execution would merge them and change how many calls run at once.
+    return calls.repartition(parts, "article_id", "node_id") if parts else calls

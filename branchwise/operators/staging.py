@@ -8,6 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from branchwise.control.files import Files
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Under spark.checkpoint.dir; a temporary folder only in local mode: executors could not share it."""
@@ -19,12 +21,28 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/stage-{uuid.uuid4().hex}"
 
 
-def stager(spark: SparkSession) -> Callable[[DataFrame, int], DataFrame]:
-    root = shared_folder(spark)
+def stager(spark: SparkSession, root: str | None = None) -> Callable[[DataFrame, int], DataFrame]:
+    """Writes levels under root, else in a new folder; stage.root is that folder."""
+    root = root or shared_folder(spark)
 
     def stage(level: DataFrame, depth: int) -> DataFrame:
         path = f"{root}/{depth}"
         level.write.parquet(path)
         return spark.read.schema(level.schema).parquet(path)
 
+    stage.root = root
     return stage
+
+
+class Journal:
+    """Levels of one model's walks under a folder that a later run finds: append-only, each level whole or not there."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+        self.stage = stager(spark, f"{root}/{uuid.uuid4().hex}")
+
+    def rows(self) -> DataFrame | None:
+        """All rows of the levels that earlier attempts have ended."""
+        files = Files(self.spark, self.root)
+        found = [f"{self.root}/{x.rpartition('/')[0]}" for x in files.walk(self.root) if x.endswith("/_SUCCESS")]
+        return self.spark.read.parquet(*found) if found else None

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
+from dataclasses import replace
 from functools import cache, partial
 from pathlib import Path
 
@@ -40,9 +40,10 @@ def _edges(s) -> DataFrame:
 
 
 def _walk(s, d, o=None, scorer=tv.hash_scorer, **kw) -> DataFrame:
-    """Ids and each level are written once: no level makes an earlier one, or the ids, anew."""
+    """Ids are written once, and levels whose scorer is no expression: those of expressions cost less to make again than to write."""
     stage = staging.stager(s)
-    return tv.traverse(stage(_articles(s, d).select("article_id"), -1), o or fixture(), scorer, **HIERARCHY | {"stage": stage} | kw)
+    levels = None if hasattr(scorer, "columns") else stage
+    return tv.traverse(stage(_articles(s, d).select("article_id"), -1), o or fixture(), scorer, **HIERARCHY | {"stage": levels} | kw)
 
 
 def _docs(s, d):
@@ -100,9 +101,10 @@ def score_children(s, d):
 
 
 def _all(s, d):
-    edges = _edges(s)
-    pairs = _articles(s, d).select("article_id", F.explode(F.array(*[F.lit(n.id) for n in fixture().nodes if n.type != "leaf"])).alias("node_id"))
-    return tv.decide(tv.hash_scorer(pairs.join(edges, "node_id")))
+    """All inner nodes' decisions, as if every one were visited."""
+    o = fixture()
+    pairs = _articles(s, d).select("article_id", F.explode(F.array(*[F.lit(n.id) for n in o.nodes if n.type != "leaf"])).alias("node_id"))
+    return tv.decide_all(pairs.join(F.broadcast(tv.nested(s, o, HIERARCHY["traversal"], HIERARCHY["positive"])), "node_id"), tv.hash_scorer)
 
 
 def decide_children(s, d):
@@ -130,13 +132,40 @@ def traverse_loop_mapinpandas(s, d):
     def score(rows: DataFrame) -> DataFrame:
         def run(frames):
             for f in frames:
-                yield f.assign(score=[_hash_score(a, c) for a, c in zip(f["article_id"], f["child_id"], strict=True)], status="SUCCESS")
+                yield f.assign(score=[text.hashed(a, c) for a, c in zip(f["article_id"], f["child_id"], strict=True)], status="SUCCESS")
         fields = ", ".join(f"{x.name} {x.dataType.simpleString()}" for x in rows.schema)
         return rows.mapInPandas(run, f"{fields}, score double, status string")
 
     return _walk(s, d, scorer=score).select(*WALK)
 
 
+def traverse_recursive(s, d):
+    """The walk as one recursive query over decisions that were made before."""
+    return tv.walk_recursive(staging.stager(s)(_all(s, d), 0), fixture(), HIERARCHY["max_depth"]).select(*WALK)
+
+
+@cache
+def shared_fixture() -> onto.Ontology:
+    """The fixture with one inner node below a second parent, on a longer path, too."""
+    o = fixture()
+    grown = tuple(replace(n, children=(*n.children, "markets.underwriting")) if n.id == "lending.leveraged" else n for n in o.nodes)
+    made = replace(o, nodes=grown, multiple_parents=True)
+    if errors := onto.validate(made):
+        raise onto.OntologyError("; ".join(errors))
+    return made
+
+
+def traverse_shared_nodes(s, d):
+    return _walk(s, d, shared_fixture()).select(*WALK)
+
+
+def reconciliation(s, d):
+    """Where a table that has lost some calls' rows is not what its rows plan."""
+    w = _walk(s, d)
+    left = w.where(text.hash_score(F.col("article_id"), F.concat(F.lit("lost:"), F.col("node_id"))) >= 0.1)
+    return tv.reconcile(left, _articles(s, d), fixture(), HIERARCHY["max_depth"])
+
+
 def relevance_routing(s, d):
     return _walk(s, d).where("node_id = 'relevance'").groupBy("article_id").agg(
         F.max(F.when(F.col("child_id") == "gsib_activity", F.col("selected_for_traversal"))).alias("proceeds"),
@@ -254,7 +283,7 @@ class _Flaky(models.HashAdapter):
     """Its calls are rate-limited 0 to 2 times, by a hash, before they succeed."""
 
     def classify(self, article, node, context):
-        left = [int(_hash_score(article.article_id, f"try:{node.id}") * 3)]
+        left = [int(text.hashed(article.article_id, f"try:{node.id}") * 3)]
 
         def call():
             if left[0]:
@@ -265,10 +294,6 @@ class _Flaky(models.HashAdapter):
         return with_retries(call, node.id, 5, lambda _: None)
 
 
-def _hash_score(article: str, child: str) -> float:
-    return int(hashlib.sha256(f"{article}:{child}".encode()).hexdigest()[:8], 16) / 4294967296
-
-
 MODEL = config.LocalModel(adapter="hash", enabled=True, provider="none", model="hash", revision="0000000", device="cpu", batch_size=32, threshold=0.5)
 
 
@@ -318,7 +343,7 @@ def manifest_status(s, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    input_lead, sample_ranked, sample_restriction, task_roots, missing_children, render_labels, result_rows, resume_union, key_uniqueness, retry_counts, union_models, manifest_status,
+    input_lead, sample_ranked, sample_restriction, task_roots, missing_children, render_labels, result_rows, resume_union, key_uniqueness, retry_counts, union_models, manifest_status, traverse_recursive, traverse_shared_nodes, reconciliation,
     canonical_articles, dedup_articles, build_inputs, truncation_audit, sample_topk, sample_manifest_hash, score_children, decide_children, threshold_overrides,
     single_choice, traverse_bfs, traverse_loop_mapinpandas, relevance_routing, leaf_reached, leaf_positives, depth_cap, node_budget, nodes_visited, failure_rows,
     skipped_by_routing, prediction_keys, resume_work, resume_reuse, embedding_similarity, label_permutation, taxonomy_view, ablation_text, returned_versions, path_scores)}
@@ -412,6 +437,9 @@ FROM w JOIN i USING (article_id) JOIN nh USING (node_id) JOIN e ON e.node_id = w
         "threshold_overrides": "WITH " + _decisions(o) + " SELECT article_id, child_id, pt AS local_threshold, tt AS traversal_threshold, selected_positive, selected_for_traversal FROM d WHERE pt <> 0.5 OR tt <> 0.3",
         "single_choice": "WITH " + _decisions(o) + " SELECT article_id, node_id, child_id AS choice FROM d WHERE node_type = 'single_choice' AND best",
         "traverse_bfs": walk + f"SELECT {cols} FROM w",
+        "traverse_recursive": walk + f"SELECT {cols} FROM w",
+        "traverse_shared_nodes": _walked(shared_fixture()).rstrip() + f", l(node_id, depth) AS (VALUES {_values(shared_fixture().depths().items())}) SELECT article_id, node_id, any_value(l.depth)::INT AS node_depth, child_id, any_value(score) AS score, any_value(selected_positive) AS selected_positive, any_value(selected_for_traversal) AS selected_for_traversal, max(path_score) AS path_score FROM w JOIN l USING (node_id) GROUP BY article_id, node_id, child_id",
+        "reconciliation": walk.rstrip() + f", k AS (SELECT * FROM w WHERE ({_HASH.format('article_id', chr(39) + 'lost:' + chr(39) + ' || node_id')}) >= 0.1), p AS (SELECT article_id, {_q(o.roots[0])} AS node_id FROM arts UNION SELECT article_id, child_id FROM k WHERE selected_for_traversal AND child_type <> 'leaf'), h AS (SELECT DISTINCT article_id, node_id FROM k) SELECT coalesce(p.article_id, h.article_id) AS article_id, coalesce(p.node_id, h.node_id) AS node_id, CASE WHEN h.node_id IS NULL THEN 'missing' ELSE 'unplanned' END AS problem FROM p FULL JOIN h ON p.article_id = h.article_id AND p.node_id = h.node_id WHERE p.node_id IS NULL OR h.node_id IS NULL",
         "traverse_loop_mapinpandas": walk + f"SELECT {cols} FROM w",
         "relevance_routing": walk + "SELECT article_id, bool_or(selected_for_traversal) FILTER (WHERE child_id = 'gsib_activity') AS proceeds, bool_or(selected_positive) FILTER (WHERE child_id = 'market_context_only') AS context FROM w WHERE node_id = 'relevance' GROUP BY article_id",
         "leaf_reached": walk + "SELECT article_id, child_id AS leaf_id, path_score FROM w WHERE child_type = 'leaf' AND selected_for_traversal",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -47,24 +49,38 @@ class RunFolder:
     def place(self, model: str) -> str:
         return f"{self.root}/results/model={model}"
 
-    def read(self, model: str | None = None) -> DataFrame | None:
+    def live(self) -> dict[str, str]:
+        """The generation of each model's files that counts, by the manifest."""
+        return json.loads(self.manifest() or "{}").get("live", {})
+
+    def paths(self, model: str | None = None, live: dict[str, str] | None = None) -> list[str]:
+        live = self.live() if live is None else live
+        return [f"{self.place(m)}/{x}" for m, g in sorted(live.items()) if model in (None, m) for x in self.files.names(self.place(m)) if x.startswith(f"part-{g}-")]
+
+    def read(self, model: str | None = None, live: dict[str, str] | None = None) -> DataFrame | None:
         """Stored rows, by the declared schema; None where there are none."""
-        place = f"{self.root}/results" if model is None else self.place(model)
-        if not any(x.endswith(".parquet") for x in self.files.walk(place)):
-            return None
-        return self.spark.read.schema(TABLE).parquet(place)
-
-    def write(self, rows: DataFrame, model: str) -> None:
-        """Replaces one model's rows: written in the work folder, moved when whole. No marker files stay."""
-        work = Files(self.spark, self.output.work_directory)
-        staged = f"{work.root}/{self.run_id}-{model}"
-        work.delete(staged)
-        shaped(rows, self.output).write.parquet(staged)
-        for name in work.names(staged):
-            if not (name.startswith("part-") and name.endswith(".parquet")):
-                work.delete(f"{staged}/{name}")
-        self.files.delete(self.place(model))
-        self.files.move(staged, self.place(model))
+        found = self.paths(model, live)
+        return self.spark.read.schema(TABLE).parquet(*found) if found else None
+
+    def write(self, rows: DataFrame, model: str) -> str:
+        """One model's rows as a new generation of files beside the older one; it counts once a manifest names it."""
+        work, generation = Files(self.spark, self.output.work_directory), uuid.uuid4().hex[:12]
+        staged = f"{work.root}/{self.run_id}-{model}-{generation}"
+        try:
+            shaped(rows, self.output).write.parquet(staged)
+            parts = [x for x in work.names(staged) if x.startswith("part-") and x.endswith(".parquet")]
+            for k, name in enumerate(parts):
+                self.files.move(f"{staged}/{name}", f"{self.place(model)}/part-{generation}-{k:05d}.parquet")
+        finally:
+            work.delete(staged)
+        return generation
+
+    def sweep(self) -> None:
+        """Deletes files of generations that the manifest does not name."""
+        kept = set(self.paths())
+        for name in self.files.walk(f"{self.root}/results"):
+            if f"{self.root}/results/{name}" not in kept:
+                self.files.delete(f"{self.root}/results/{name}")
 
     def write_manifest(self, text: str) -> None:
         self.files.write(f"{self.root}/manifest.json", text)
@@ -81,8 +97,14 @@ class RunFolder:
 
 
 def read_results(spark: SparkSession, directory: str, *run_ids: str) -> DataFrame:
-    """Rows of finished runs, for whoever consumes them: the schema is the only contract."""
-    return spark.read.schema(TABLE).parquet(*[f"{directory.rstrip('/')}/{r}/results" for r in run_ids])
+    """Rows of runs, for whoever consumes them: the files that each manifest names, by the declared schema."""
+    places = []
+    for r in run_ids:
+        root = f"{directory.rstrip('/')}/{r}"
+        files = Files(spark, root)
+        live = json.loads(files.read(f"{root}/manifest.json"))["live"]
+        places += [f"{root}/results/model={m}/{x}" for m, g in sorted(live.items()) for x in files.names(f"{root}/results/model={m}") if x.startswith(f"part-{g}-")]
+    return spark.read.schema(TABLE).parquet(*places)
 
 
 def duplicate_keys(rows: DataFrame) -> DataFrame:

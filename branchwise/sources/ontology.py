@@ -7,6 +7,9 @@ import json
 from dataclasses import dataclass, field, replace
 
 import yaml
+
+from branchwise.control.config import ConfigError, UniqueKeys
+
 TYPES = ("multi_label", "single_choice", "leaf")
 EDGES = "node_id string, child_id string, ordinal int"
 
@@ -41,9 +44,21 @@ class Ontology:
     version: str
     roots: tuple
     nodes: tuple
+    multiple_parents: bool = False
 
     def sha256(self) -> str:
-        return hashlib.sha256(json.dumps({"id": self.id, "version": self.version, "roots": self.roots, "nodes": [vars(n) for n in self.nodes]}, sort_keys=True).encode()).hexdigest()
+        said = {"id": self.id, "version": self.version, "roots": self.roots, "nodes": [vars(n) for n in self.nodes]} | ({"multiple_parents": True} if self.multiple_parents else {})
+        return hashlib.sha256(json.dumps(said, sort_keys=True).encode()).hexdigest()
+
+    def depths(self) -> dict[str, int]:
+        """Of each node that a root reaches, the length of its longest path from one; there is no cycle."""
+        by, out = {n.id: n for n in self.nodes}, dict.fromkeys(self.roots, 0)
+        level = list(self.roots)
+        while level:
+            level = list(dict.fromkeys(c for i in level for c in by[i].children))
+            depth = max(out.values()) + 1
+            out |= dict.fromkeys(level, depth)
+        return out
 
     def edges(self) -> list[tuple[str, str, int]]:
         return [(n.id, c, k) for n in self.nodes for k, c in enumerate(n.children)]
@@ -55,15 +70,18 @@ def load(path: str) -> Ontology:
 
 
 def parse(text: str) -> Ontology:
-    raw = yaml.safe_load(text)
-    if unknown := set(raw) - {"id", "version", "roots", "nodes"}:
+    try:
+        raw = yaml.load(text, UniqueKeys)
+    except ConfigError as e:
+        raise OntologyError(str(e)) from e
+    if unknown := set(raw) - {"id", "version", "roots", "nodes", "multiple_parents"}:
         raise OntologyError(f"unknown keys: {sorted(unknown)}")
     nodes = []
     for n in raw["nodes"]:  # a list: mappings would drop duplicate ids in silence
         if unknown := set(n) - set(Node.__dataclass_fields__):
             raise OntologyError(f"unknown keys of {n.get('id')}: {sorted(unknown)}")
         nodes.append(Node(**{k: tuple(v) if isinstance(v, list) else v for k, v in n.items()}))
-    found = Ontology(raw["id"], str(raw["version"]), tuple(raw["roots"]), tuple(nodes))
+    found = Ontology(raw["id"], str(raw["version"]), tuple(raw["roots"]), tuple(nodes), bool(raw.get("multiple_parents", False)))
     if errors := validate(found):
         raise OntologyError("; ".join(errors))
     return found
@@ -94,7 +112,8 @@ def validate(o: Ontology) -> list[str]:
             parents.setdefault(c, []).append(n.id)
             if c not in by:
                 errors.append(f"{n.id}: nonexistent child {c}")
-    errors += [f"{c}: {len(p)} parents" for c, p in parents.items() if len(p) > 1]
+    if not o.multiple_parents:
+        errors += [f"{c}: {len(p)} parents" for c, p in parents.items() if len(p) > 1]
     waiting = {i: len(parents.get(i, [])) for i in by}
     free = [i for i, n in waiting.items() if not n]
     while free:
@@ -105,11 +124,15 @@ def validate(o: Ontology) -> list[str]:
                     free.append(c)
     if any(n > 0 for n in waiting.values()):
         errors.append("a cycle")
+    elif all(r in by for r in o.roots) and all(c in by for c in parents) and (lost := sorted(by.keys() - o.depths().keys())):
+        errors.append("no root reaches " + ", ".join(lost))
     return errors
 
 
 def view(o: Ontology, depth: int) -> Ontology:
-    """The ontology cut below `depth`; what was inner there becomes a leaf."""
+    """The ontology, a forest, cut below `depth`; what was inner there becomes a leaf."""
+    if o.multiple_parents:
+        raise OntologyError("a view of an ontology with several parents a node has no one depth")
     by, level, kept = {n.id: n for n in o.nodes}, list(o.roots), []
     for d in range(depth + 1):
         cut = d == depth

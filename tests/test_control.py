@@ -1,7 +1,12 @@
 """Configuration, identity, templates and adapters: no Spark."""
 
+import ast
 import copy
 import re
+import subprocess
+import sys
+import threading
+import time
 from dataclasses import replace
 from datetime import UTC, datetime
 from pathlib import Path
@@ -75,7 +80,8 @@ def test_keys_written_twice_fail():
 
 
 def test_checks_before_any_call(monkeypatch, tmp_path):
-    assert runs.validate(config()).ontology == fixture()
+    code = pv.GitState("c" * 40, True, "d" * 64)
+    assert runs.validate(config(), code=code).ontology == fixture() and runs.validate(config()).git.commit
     with pytest.raises(cfg.ConfigError, match="pinned"):
         runs.validate(config(ontology__sha256="b" * 64))
     with pytest.raises(cfg.ConfigError, match="version"):
@@ -92,9 +98,8 @@ def test_checks_before_any_call(monkeypatch, tmp_path):
         broken.write_text(ONTOLOGY.read_text().replace(old, new))
         with pytest.raises(onto.OntologyError):
             runs.validate(config(ontology__path=str(broken), ontology__sha256=cfg.sha256(broken.read_bytes())))
-    monkeypatch.setattr(pv, "git_state", lambda _: pv.GitState("c" * 40, True, "d" * 64))
     with pytest.raises(cfg.ConfigError, match="dirty"):
-        runs.validate(config(run__allow_dirty_git=False))
+        runs.validate(config(run__allow_dirty_git=False), code=code)
     assert config().enabled("similarity") and pytest.raises(cfg.ConfigError, config().enabled, "hosted")
 
 
@@ -244,10 +249,85 @@ def test_similarity_knows_the_nearer_node():
     assert max(s, key=s.get) == "markets.financing.repo"
 
 
-def test_package_knows_no_gold_labels():
-    for p in Path(runs.REPOSITORY, "branchwise").rglob("*.py"):
-        if "llm" not in p.parts:
-            assert not re.search(r"import .*(adjudicat|gold|evaluat)|labels\.parquet", p.read_text()), p
+def test_package_imports_nothing_beyond_its_own_and_what_is_allowed():
+    """By the import graph: no evaluation package, and nothing of the training-data operators."""
+    allowed = {"__future__", "branchwise", "pyspark", "pandas", "pyarrow", "pydantic", "yaml", "numpy", *sys.stdlib_module_names}
+    package = Path(runs.__file__).parents[1]
+    for p in package.rglob("*.py"):
+        if "llm" in p.relative_to(package).parts:
+            continue
+        for node in ast.walk(ast.parse(p.read_text())):
+            names = [a.name for a in node.names] if isinstance(node, ast.Import) else [node.module or ""] if isinstance(node, ast.ImportFrom) else []
+            for name in names:
+                assert name.split(".")[0] in allowed and not name.startswith("branchwise.llm"), (p, name)
+                assert not re.search(r"adjudicat|gold|evaluat", name), (p, name)
+        assert "labels.parquet" not in p.read_text(), p
+
+
+def git(folder, *args):
+    subprocess.run(["git", "-c", "user.name=t", "-c", "user.email=t@localhost", "-C", str(folder), *args], check=True, capture_output=True)
+
+
+def test_code_identity_follows_contents(tmp_path):
+    repo = tmp_path / "repo"
+    repo.mkdir()
+    git(repo, "init", "-q")
+    (repo / "a.py").write_text("1")
+    git(repo, "add", "-A")
+    git(repo, "commit", "-qm", "one")
+    clean = pv.code_state(str(repo))
+    assert not clean.dirty and clean.diff_sha256 is None and len(clean.commit) == 40
+    states = [clean]
+    for change in (lambda: (repo / "new.py").write_text("1"), lambda: (repo / "new.py").write_text("2"), lambda: (repo / "a.py").write_text("2"), lambda: (repo / "new.py").rename(repo / "other.py")):
+        change()
+        states.append(pv.code_state(str(repo)))
+    assert all(s.dirty for s in states[1:]) and len({s.diff_sha256 for s in states}) == 5
+    (repo / ".git" / "HEAD").write_text("broken")
+    with pytest.raises(cfg.ConfigError, match="rev-parse"):
+        pv.code_state(str(repo))
+    installed = pv.code_state(str(tmp_path))
+    assert installed.commit.startswith("package-") and installed == pv.code_state(str(tmp_path)) and not installed.dirty
+
+
+def test_a_hanging_call_ends_at_its_deadline(key):
+    began = time.monotonic()
+    adapter = models.HostedAdapter(config(models__hosted__retries=1, models__hosted__timeout_seconds=1).models["hosted"], lambda *_: time.sleep(20), wait=lambda _: None)
+    d = adapter.classify(ARTICLE, MULTI, context(MULTI))
+    assert (d.status, d.error_code, d.retry_count) == ("TIMEOUT", "deadline", 1) and time.monotonic() - began < 8
+
+
+def test_a_provider_is_waited_for_as_it_asks(key):
+    waits, answers = [], [(429, {}, {"Retry-After": "7"}), (503, {}, {"retry-after": "Wed, 21 Oct 2026 07:28:00 GMT"}), (429, {}, {"Retry-After": "100000"}), (429, {})]
+    adapter = models.HostedAdapter(config(models__hosted__retries=4).models["hosted"], lambda *x: answers.pop(0) if answers else answer(*x), wait=waits.append)
+    d = adapter.classify(ARTICLE, MULTI, context(MULTI))
+    assert d.status == "SUCCESS" and d.retry_count == 4
+    assert waits[0] == 7 and 1 <= waits[1] <= 1.5 and waits[2] == 120 and 4 <= waits[3] <= 6
+
+
+def test_calls_at_once_never_pass_the_models_concurrency(key):
+    now, most, lock = [0], [0], threading.Lock()
+
+    def transport(*x):
+        with lock:
+            now[0] += 1
+            most[0] = max(most[0], now[0])
+        time.sleep(0.01)
+        with lock:
+            now[0] -= 1
+        return answer(*x)
+
+    adapter = models.HostedAdapter(config().models["hosted"], transport, concurrency=3)
+    adapter.classify_batch([(ARTICLE, MULTI, context(MULTI))] * 40)
+    assert 1 < most[0] <= 3
+
+
+def test_a_label_is_embedded_once():
+    seen = []
+    adapter = models.EmbeddingAdapter(LOCAL, lambda texts: seen.extend(texts) or models.hashed_words(texts))
+    for k in range(3):
+        adapter.classify_batch([(ArticleInput(f"a{i}", f"text {k} {i}"), n, context(n, "embedding")) for i in range(40) for n in (MULTI, SINGLE)])
+    labels = {x for n in (MULTI, SINGLE) for x in context(n, "embedding").labels()}
+    assert all(seen.count(x) == 1 for x in labels)
 
 
 def test_json_schema_is_strict():

@@ -7,12 +7,12 @@ from pathlib import Path
 
 import pytest
 import yaml
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from branchwise import cli
 from branchwise.adapters import models
 from branchwise.adapters.base import ClassificationAdapter, NodeDecision
-from branchwise.control import config as cfg, run as runs
+from branchwise.control import config as cfg, provenance as pv, run as runs
 from branchwise.control.files import Files
 from branchwise.operators import traversal as tv
 from branchwise.plans.catalog import fixture
@@ -21,6 +21,9 @@ from branchwise.sources import articles as src
 from tests.test_control import raw_config
 
 
+DEPTHS = fixture().depths()
+
+
 class Recorded(ClassificationAdapter):
     """Hash scores; notes its calls in a file and fails for a share of them while a flag file is there."""
 
@@ -28,6 +31,8 @@ class Recorded(ClassificationAdapter):
         self.model, self.folder = model, folder
 
     def classify(self, article, node, context):
+        if os.path.exists(f"{self.folder}/crash") and DEPTHS[node.id] == 2:
+            raise RuntimeError("crash")
         with open(f"{self.folder}/calls", "a") as f:
             f.write(f"{article.article_id} {node.id}\n")
         if os.path.exists(f"{self.folder}/failing") and int(article.article_id[-1], 16) % 3 == 0:
@@ -35,6 +40,10 @@ class Recorded(ClassificationAdapter):
         return models.HashAdapter(self.model).classify(article, node, context)
 
 
+CODE = pv.GitState("c" * 40, False, None)
+ONE = {"first": raw_config()["models"]["similarity"] | {"adapter": "hash", "model": "hash-1"}}
+
+
 def registry(folder, name, model):
     return Recorded(model, folder)
 
@@ -47,7 +56,7 @@ def place(spark, tmp_path):
     part.rename(tmp_path / "articles.parquet")
     local = raw_config()["models"]["similarity"]
     over = {
-        "dataset__file": f"{tmp_path}/articles.parquet", "dataset__file_sha256": cfg.sha256((tmp_path / "articles.parquet").read_bytes()), "sample__size": 40, "output__directory": f"{tmp_path}/results",
+        "dataset__file": f"{tmp_path}/articles.parquet", "dataset__file_sha256": cfg.sha256((tmp_path / "articles.parquet").read_bytes()), "sample__size": 12, "output__directory": f"{tmp_path}/results",
         "output__work_directory": f"{tmp_path}/work", "models": {"first": local | {"adapter": "hash", "model": "hash-1"}, "second": local | {"threshold": 0.6}},
     }
 
@@ -64,9 +73,9 @@ def calls(folder):
 
 
 def test_run_store_resume(spark, place):
-    folder, config = place.folder, place(models={"first": raw_config()["models"]["similarity"] | {"adapter": "hash", "model": "hash-1"}})
-    prepared = runs.prepare(spark, runs.validate(config))
-    assert prepared.sample_size == 40 and prepared == runs.prepare(spark, runs.validate(config))
+    folder, config = place.folder, place(models=ONE)
+    prepared = runs.prepare(spark, runs.validate(config, code=CODE))
+    assert prepared.sample_size == 12 and prepared == runs.prepare(spark, runs.validate(config, code=CODE))
     (folder / "failing").touch()
     done = runs.run(spark, prepared, partial(registry, str(folder)))
     first, stored = calls(folder), done.read()
@@ -94,6 +103,8 @@ def test_run_store_resume(spark, place):
     (folder / "calls").unlink()
     runs.run(spark, prepared, partial(registry, str(folder)), resume=True)
     assert calls(folder) == []
+    assert all(oct(p.stat().st_mode)[-3:] == ("555" if p.is_dir() else "444") for p in [Path(done.root), *Path(done.root).rglob("*")])  # sealed
+    (Path(done.root)).chmod(0o755)
     (Path(done.root) / "metrics.json").write_text("{}")
     with pytest.raises(RuntimeError, match="metrics"):
         done.guard()
@@ -117,7 +128,7 @@ def test_command_line(spark, place, capsys):
     assert files and all(f.startswith("part-") and f.endswith(".parquet") for f in files)
     rows = spark.read.schema(results.TABLE).parquet(str(folder / "results" / name / "results"))
     per = rows.groupBy("model_id", "article_id").count().collect()
-    assert {r["count"] for r in per} == {len(fixture().edges())} and len(per) == 80  # every child is a row, visited or skipped
+    assert {r["count"] for r in per} == {len(fixture().edges())} and len(per) == 24  # every child is a row, visited or skipped
     assert rows.where("latency_ms IS NOT NULL").count() == 0 and rows.where("status = 'SKIPPED_BY_ROUTING' AND score IS NOT NULL").count() == 0
     assert {r[0] for r in rows.where("model_id = 'second' AND child_id = 'markets'").select("local_threshold").distinct().collect()} == {0.6}
     assert {r[0] for r in rows.where("child_id = 'markets.financing.repo'").select("local_threshold").distinct().collect()} == {0.7}
@@ -126,6 +137,14 @@ def test_command_line(spark, place, capsys):
     assert cli.main(["validate", *path], spark) == 2 and "pinned" in capsys.readouterr().err
 
 
+def within_budget(rows: DataFrame, o, max_nodes: int) -> DataFrame:
+    """The rows of each article's first max_nodes visited nodes in breadth-first, canonical order; ancestors come first."""
+    order = rows.sparkSession.createDataFrame(list(tv._places(o).items()), "node_id string, place string")
+    visited = rows.select("article_id", "node_id", "node_depth").distinct().join(F.broadcast(order), "node_id")
+    first = visited.withColumn("k", F.row_number().over(Window.partitionBy("article_id").orderBy("node_depth", "place"))).where(F.col("k") <= max_nodes)
+    return rows.join(first.select("article_id", "node_id"), ["article_id", "node_id"], "left_semi")
+
+
 def test_budget_stops_calls(spark):
     """The cut inside the walk is the cut after it, and nodes past it are not scored."""
     arts = spark.createDataFrame([(f"a{k}",) for k in range(60)], "article_id string")
@@ -134,7 +153,7 @@ def test_budget_stops_calls(spark):
     for cap in (1, 2, 4):
         inside = tv.traverse(arts, fixture(), tv.hash_scorer, **how, max_nodes=cap)
         key = lambda df: sorted(map(str, df.select(*tv.COLUMNS).collect()))
-        assert key(inside) == key(tv.within_budget(whole, fixture(), cap))
+        assert key(inside) == key(within_budget(whole, fixture(), cap))
         assert max(r[0] for r in inside.groupBy("article_id").agg(F.countDistinct("node_id")).select("count(DISTINCT node_id)").collect()) <= cap
 
 
@@ -156,3 +175,106 @@ def test_snapshot_hash_gate(spark, tmp_path):
     assert files.sha256(f"{tmp_path}/d") != before
     with pytest.raises(src.SnapshotMismatch):
         src.verify_snapshot(files, f"{tmp_path}/d/a", "0" * 64)
+
+
+def test_a_crash_repeats_no_call_of_an_ended_level(spark, place):
+    folder, config = place.folder, place(models=ONE)
+    prepared = runs.prepare(spark, runs.validate(config, code=CODE))
+    (folder / "crash").touch()
+    with pytest.raises(Exception, match="crash"):
+        runs.run(spark, prepared, partial(registry, str(folder)))
+    before = calls(folder)
+    ended = [c for c in before if DEPTHS[c.split()[1]] < 2]
+    assert ended and not [p for p in (folder / "work").iterdir() if p.name.startswith("stage-")]
+    (folder / "crash").unlink()
+    (folder / "calls").unlink()
+    done = runs.run(spark, prepared, partial(registry, str(folder)), resume=True)
+    assert not set(calls(folder)) & set(ended) and json.loads(done.manifest())["status"] == "COMPLETE"
+    sample = spark.read.parquet(prepared.sample_path).select("article_id")
+    assert tv.reconcile(done.read(), sample, fixture(), 10, 100).isEmpty() and done.read().where("status <> 'SUCCESS'").isEmpty()
+
+
+def test_hidden_scores_do_not_hinder_resuming(spark, place):
+    folder, config = place.folder, place(models=ONE, output__include_node_scores=False)
+    prepared = runs.prepare(spark, runs.validate(config, code=CODE))
+    (folder / "failing").touch()
+    done = runs.run(spark, prepared, partial(registry, str(folder)))
+    failed = {f"{r.article_id} {r.node_id}" for r in done.read().where("status = 'TIMEOUT'").select("article_id", "node_id").distinct().collect()}
+    good = set(calls(folder)) - failed
+    assert good and failed and done.read().where("score IS NOT NULL").isEmpty()
+    (folder / "failing").unlink()
+    (folder / "calls").unlink()
+    again = runs.run(spark, prepared, partial(registry, str(folder)), resume=True)
+    assert not set(calls(folder)) & good and json.loads(again.manifest())["status"] == "COMPLETE" and again.read().where("score IS NOT NULL").isEmpty()
+
+
+def test_a_fault_at_any_step_leaves_the_old_rows_or_the_new(spark, tmp_path, monkeypatch):
+    output = cfg.parse(yaml.safe_dump(raw_config(output__directory=f"{tmp_path}/results", output__work_directory=f"{tmp_path}/work"))).output
+    folder = results.RunFolder(spark, output, "20261001T221503Z_01234567")
+    kinds = {"string": "x", "integer": 1, "bigint": 1, "int": 1, "double": 0.5, "boolean": True, "timestamp": None}
+
+    def rows(article):
+        row = [article if f.name == "article_id" else kinds[f.dataType.simpleString()] for f in results.TABLE.fields]
+        return spark.createDataFrame([row], ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in results.TABLE.fields))
+
+    def commit(article):
+        live = {"m": folder.write(rows(article), "m")}
+        folder.write_manifest(json.dumps({"live": live}))
+        folder.sweep()
+
+    commit("old")
+    left = [0]
+
+    def faulty(name):
+        true = getattr(Files, name)
+
+        def run(self, *a):
+            left[0] -= 1
+            if left[0] == 0:
+                raise OSError(f"fault in {name}")
+            return true(self, *a)
+
+        monkeypatch.setattr(Files, name, run)
+
+    for name in ("move", "delete", "write", "_swap", "names", "walk", "read"):
+        faulty(name)
+    seen = []
+    for step in range(1, 40):
+        left[0] = step
+        try:
+            commit("new")
+            failed = False
+        except OSError:
+            failed = True
+        left[0] = 0
+        [found] = folder.read("m").select("article_id").collect()
+        seen.append((failed, found[0]))
+        if not failed:
+            break
+        if found[0] == "new":
+            commit("old")
+    assert not failed and found[0] == "new" and {x for f, x in seen if f} == {"old", "new"}
+    folder.sweep()
+    assert {x.split("-")[1] for x in folder.files.walk(f"{folder.root}/results")} == {folder.live()["m"]}
+
+
+def test_rows_of_another_model_never_count(spark, place, monkeypatch):
+    folder, config = place.folder, place(models={"hosted": raw_config()["models"]["hosted"] | {"enabled": True}})
+    monkeypatch.setenv("MODEL_API_KEY", "k")
+    prepared = runs.prepare(spark, runs.validate(config, code=CODE))
+    with pytest.raises(Exception, match="answered by"):
+        runs.run(spark, prepared, partial(other_model, str(folder)))
+    name = results.RunFolder.find(spark, config.output, prepared.digest)
+    assert results.RunFolder(spark, config.output, name).read() is None
+    monkeypatch.setattr(runs, "_speculates", lambda _: True)
+    with pytest.raises(cfg.ConfigError, match="speculation"):
+        runs.run(spark, prepared, partial(other_model, str(folder)), resume=True)
+
+
+class _Other(ClassificationAdapter):
+    def classify(self, article, node, context):
+        return NodeDecision(node.id, {c.id: 0.5 for c in context.children}, returned_version="another")
+
+
+def other_model(folder, name, model):
+    return _Other()
