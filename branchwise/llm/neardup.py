@@ -314,8 +314,9 @@ def _classes(keyed: DataFrame, threshold: float) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs with one row of each class: that with the class's smallest id.
 
-    Of rows that repeat this id and text one stays. Rows without an id stay if
-    no row of their class has one.
+    Of rows that repeat this id and text one stays. Rows without an id cannot be
+    told apart by it: they go if each of them is in a class that has an id, and
+    else all stay.
     """
     stays = F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)) | F.col("class_id").isNull()
     gone = near_duplicates(docs, threshold).groupBy(F.col("doc_id").alias("_bw_id")).agg(F.max(stays).alias("stays")).where("NOT stays").drop("stays")

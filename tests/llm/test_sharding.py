@@ -60,3 +60,18 @@ def test_two_writers(spark, store, tmp_path, monkeypatch):
     monkeypatch.setattr(ShardStore, "_publish", publish)
     store.append(spark.range(50_000, 50_010))
     assert store.read().count() == 25 and other.version() == store.version()
+
+
+def test_whole_table_against_its_input(spark):
+    import hashlib
+    from collections import Counter
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    got = sharding.op8_sharding(spark, "/root/testdata/sf0.01").collect()
+    want = Counter((r.doc_id, None if r.text is None else len(r.text), hashlib.sha256((r.text or "").encode()).hexdigest()) for r in docs)
+    assert Counter((r.doc_id, r.n_chars, r.text_sha256) for r in got) == want
+    [version] = {r.version for r in got}
+    tiers = {}
+    for r in got:
+        tiers.setdefault(r.tier, set()).add(r.shard.split("/")[0])
+    assert version > 16 and all(len(runs) < 4 for runs in tiers.values())  # a tier never holds as many runs as are merged
