@@ -60,8 +60,68 @@ def test_items_without_an_id_are_found(spark):
 
 def test_odd_rows(spark, odd_docs):
     bench = spark.createDataFrame([(1, "alpha3 alpha4 alpha5 alpha6 alpha7 alpha8"), (2, None), (3, ""), (4, "alpha1 alpha2"), (None, None)], "item_id long, text string").selectExpr("*", "'x' AS item", "'x' AS words")
-    got = decontam.contaminated(odd_docs, bench).collect()
+    got = decontam.contaminated(odd_docs, bench, least=5).collect()
     assert sorted(map(str, ((r.doc_id, r.item_id) for r in got))) == sorted(map(str, [(1, 1), (1, 1), (2, 1), (None, 1)]))
+    every = {(r.doc_id, r.item_id) for r in decontam.contaminated(odd_docs, bench).collect()}
+    assert {i for _, i in every} == {1, 4} and {x for x in every if x[1] == 1} == {(1, 1), (2, 1), (None, 1)}
     assert decontam.decontaminate(odd_docs, bench).count() == 6
     assert decontam.contaminated(odd_docs.limit(0), bench).count() == decontam.contaminated(odd_docs, bench.limit(0)).count() == 0
     assert decontam.decontaminate(odd_docs, bench.limit(0)).count() == 10
+
+
+def brute(items, docs):
+    """Every text against every item on every diagonal: (doc_id, item_id, n_matched)."""
+    out = set()
+    for d, text, *_ in docs:
+        w = np.array(text.split(), object)
+        for i, item in items:
+            x = np.array(item.split(), object)
+            best = max((int((x[max(0, -s) : len(w) - s] == w[max(0, s) : max(0, s) + len(x[max(0, -s) : len(w) - s])]).sum()) for s in range(1 - len(x), len(w))), default=0)
+            if best >= decontam.THRESHOLD * len(x):
+                out.add((d, i, best))
+    return out
+
+
+def templated(rng, n_items, own, shared):
+    """Items that are alike but for `own` words; texts that hold one with the substitutions allowed, or the words that all share alone."""
+    n, items, docs = own + shared, [], []
+    places = set(rng.choice(n, own, replace=False).tolist())
+    for i in range(n_items):
+        items.append((i, " ".join(f"own{i}x{k}" if k in places else f"t{k}" for k in range(n))))
+    for i, item in items[::3]:
+        held = item.split()
+        for k in rng.choice(n, decontam.allowed(n, decontam.THRESHOLD), replace=False):
+            held[k] = f"x{rng.integers(10**9)}"
+        docs.append((2 * i, " ".join(["before"] * int(rng.integers(0, 5)) + held + ["after"] * int(rng.integers(0, 5)))))
+    docs += [(2 * i + 1, " ".join(f"other{i}x{k}" if k in places else f"t{k}" for k in range(n))) for i in range(n_items)]
+    return items, docs
+
+
+def test_items_of_one_template_are_found_as_by_brute_force(spark):
+    rng = np.random.default_rng(8)
+    for own, shared in ((4, 6), (12, 18), (8, 32), (5, 35)):
+        items, docs = templated(rng, 12, own, shared)
+        want = brute(items, docs)
+        assert {d for d, *_ in want} >= {2 * i for i, _ in items[::3]}
+        assert found(spark, items, docs) == want, (own, shared)
+
+
+def test_candidates_of_a_template_grow_with_texts_not_pairs(spark):
+    items, docs = templated(np.random.default_rng(9), 200, 15, 15)
+    texts, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    lain = decontam.candidates(texts, bench, decontam.THRESHOLD, 1)[0]
+    assert len(items[::3]) <= lain.select("key", "item").distinct().count() <= len(docs)
+
+
+def test_long_items_are_found_by_their_parts(spark):
+    assert all(decontam.parts_of(n)[0][0] == 0 and decontam.parts_of(n)[-1][1] == n and (n <= 64 or all(32 <= b - a <= 64 for a, b in decontam.parts_of(n))) for n in range(1, 2000))
+    items, docs = substituted(np.random.default_rng(5), (65, 95, 96, 200, 700), 25)
+    assert found(spark, items, docs) == {(d, i, m) for d, _, i, m in docs}
+
+
+def test_items_of_one_to_four_words_match_exactly(spark):
+    items = [(n, " ".join(f"w{n}{k}" for k in range(n))) for n in range(1, 5)] + [(9, "...")]
+    docs = [(n, f"x {t} y") for n, t in items] + [(10 + n, f"x {t.rpartition(' ')[0]} y {t.rpartition(' ')[2]}z") for n, t in items[1:4]]
+    assert found(spark, items, docs) == {(n, n, n) for n in range(1, 5)}
+    texts, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert decontam.decontaminate(texts, bench).count() == len(docs) and decontam.decontaminate(texts, bench, least=3).count() == len(docs) - 2
