@@ -1,4 +1,4 @@
-"""python -m branchwise.cli validate | prepare | run [--model m] [--resume] --config file"""
+"""python -m branchwise.cli validate | prepare | run [--model m] [--resume] [--wait seconds] --config file"""
 
 from __future__ import annotations
 
@@ -26,6 +26,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         if name == "run":
             command.add_argument("--model")
             command.add_argument("--resume", action="store_true")
+            command.add_argument("--wait", type=float, default=0.0, help="seconds to wait while other runs hold all calls of a hosted model")
             command.add_argument("--adapters", help="module:function that makes an adapter of a model's name and configuration")
     args = parser.parse_args(argv)
     try:
@@ -47,7 +48,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         if args.adapters:
             module, _, function = args.adapters.partition(":")
             registry = getattr(importlib.import_module(module), function)
-        folder = runs.run(spark or _session(), prepared, registry, args.model, args.resume)
+        folder = runs.run(spark or _session(), prepared, registry, args.model, args.resume, args.wait)
         print(folder.root)
         return 0
     except (cfg.ConfigError, OntologyError, SnapshotMismatch, FileNotFoundError, LookupError) as e:

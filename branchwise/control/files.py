@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -41,6 +42,41 @@ class Files:
         self._fs.mkdirs(self.path(name).getParent())
         self._swap(temporary, self.path(name))
 
+    def create(self, name: str, text: str) -> bool:
+        """Makes a file that is not there yet; of several that try at once, one does. It needs a file system whose create is exclusive, as HDFS and local ones have."""
+        path = self.path(name)
+        self._fs.mkdirs(path.getParent())
+        if self._local:
+            try:
+                out = os.open(path.toUri().getPath(), os.O_CREAT | os.O_EXCL | os.O_WRONLY)
+            except FileExistsError:
+                return False
+            with os.fdopen(out, "wb") as f:
+                f.write(text.encode())
+            return True
+        try:
+            out = self._fs.create(path, False)
+        except Exception:
+            if self.exists(name):
+                return False
+            raise
+        out.write(bytearray(text.encode()))
+        out.close()
+        return True
+
+    def modified(self, name: str) -> float | None:
+        """Seconds since 1970 by the file system's clock; None where nothing is."""
+        path = self.path(name)
+        return self._fs.getFileStatus(path).getModificationTime() / 1000 if self._fs.exists(path) else None
+
+    def touch(self, name: str) -> float:
+        """Writes what the file holds once more, so that its time is the file system's own; that time."""
+        held = self.read(name) if self.exists(name) else ""
+        out = self._fs.create(self.path(name), True)
+        out.write(bytearray(held.encode()))
+        out.close()
+        return self.modified(name)
+
     def _swap(self, temporary, final) -> None:
         if self._local:  # a rename there replaces a file at once
             if not self._fs.rename(temporary, final):

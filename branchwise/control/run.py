@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import UTC, datetime
 from functools import partial, reduce
@@ -16,6 +17,7 @@ from branchwise.adapters.base import ClassificationAdapter, ReturnedModelMismatc
 from branchwise.control import provenance
 from branchwise.control.config import Config, ConfigError, HostedModel, LocalModel, check_credentials, sha256
 from branchwise.control.files import Files
+from branchwise.control.leases import Leases, leased
 from branchwise.functions import text
 from branchwise.operators import scoring, staging, traversal as tv
 from branchwise.sinks import results
@@ -109,6 +111,23 @@ def _speculates(spark: SparkSession) -> bool:
     return spark.sparkContext.getConf().get("spark.speculation", "false").lower() == "true"
 
 
+@contextlib.contextmanager
+def _calls(spark: SparkSession, config: Config, model_id: str, model: HostedModel | LocalModel, patience: float) -> Iterator[tuple[int | None, Callable[[], None]]]:
+    """The calls of a hosted model that this run holds, and a check that it still does."""
+    if not isinstance(model, HostedModel):
+        yield None, lambda: None
+        return
+    work = config.output.work_directory
+    leases = Leases(Files(spark, work), work, [model.provider, model.model])
+
+    def alive() -> None:
+        if leases.lost.is_set():
+            raise RuntimeError(f"{model_id}: another run has taken over calls of this one, which stood still; resume it")
+
+    with leased(leases, model.concurrency, model_id, patience) as held:
+        yield held, alive
+
+
 def _make(registry: Registry, name: str, model, share: int | None) -> ClassificationAdapter:
     made = registry(name, model)
     if share:
@@ -116,7 +135,7 @@ def _make(registry: Registry, name: str, model, share: int | None) -> Classifica
     return made
 
 
-def run(spark: SparkSession, prepared: Prepared, registry: Registry = models.offline, only: str | None = None, resume: bool = False) -> RunFolder:
+def run(spark: SparkSession, prepared: Prepared, registry: Registry = models.offline, only: str | None = None, resume: bool = False, patience: float = 0.0) -> RunFolder:
     """Classifies the sample with each enabled model and stores rows and manifest.
 
     Without `resume` the identity must be new, but that several calls may each
@@ -126,6 +145,10 @@ def run(spark: SparkSession, prepared: Prepared, registry: Registry = models.off
     older ones when the manifest names them, so a reader sees either. A run is
     COMPLETE if no row failed and its rows are those that they plan themselves;
     then its folder is sealed, and resuming it does nothing.
+
+    Runs that share a work folder share each hosted model's `concurrency`: a run
+    takes what no other holds, and waits up to `patience` seconds for the first
+    call of a model before it ends.
     """
     if _speculates(spark) and any(isinstance(m, HostedModel) for m in prepared.checked.config.enabled(only).values()):
         raise ConfigError("spark.speculation would make paid calls twice and pass a model's concurrency")
@@ -152,7 +175,8 @@ def run(spark: SparkSession, prepared: Prepared, registry: Registry = models.off
         seen = stage(inputs(spark, config, sample), 0)
         for model_id, model in chosen.items():
             libraries[model_id] = list(registry(model_id, model).libraries)
-            _store(spark, prepared, model_id, model, seen, registry, folder, said, retried, live)
+            with _calls(spark, config, model_id, model, patience) as (share, alive):
+                _store(spark, prepared, model_id, model, seen, registry, folder, said, retried, live, share, alive)
             folder.write_manifest(provenance.to_json(note(status=provenance.RUNNING, completed=None)))
             folder.sweep()
     finally:
@@ -166,10 +190,11 @@ def run(spark: SparkSession, prepared: Prepared, registry: Registry = models.off
     return folder
 
 
-def _store(spark: SparkSession, prepared: Prepared, model_id: str, model: HostedModel | LocalModel, seen: DataFrame, registry: Registry, folder: RunFolder, said: dict, retried: dict, live: dict) -> None:
+def _store(spark: SparkSession, prepared: Prepared, model_id: str, model: HostedModel | LocalModel, seen: DataFrame, registry: Registry, folder: RunFolder, said: dict, retried: dict, live: dict, at_once: int | None, alive: Callable[[], None]) -> None:
     """One model's rows as a generation that the next manifest names; rows that must not count never do."""
     config, walk = prepared.checked.config, prepared.checked.config.hierarchy.traversal
-    generation = folder.write(classify(spark, prepared, model_id, model, seen, registry, folder), model_id)
+    generation = folder.write(classify(spark, prepared, model_id, model, seen, registry, folder, at_once, alive), model_id)
+    alive()
     stored = folder.read(model_id, {model_id: generation})
     if stored is None:
         stored = spark.createDataFrame([], TABLE)
@@ -183,24 +208,33 @@ def _store(spark: SparkSession, prepared: Prepared, model_id: str, model: Hosted
     retried[model_id], live[model_id] = int(facts[1] or 0), generation
 
 
-def classify(spark: SparkSession, prepared: Prepared, model_id: str, model: HostedModel | LocalModel, seen: DataFrame, registry: Registry, folder: RunFolder) -> DataFrame:
-    """Result rows of one model. Each level's calls are written before their rows are read twice."""
+def classify(spark: SparkSession, prepared: Prepared, model_id: str, model: HostedModel | LocalModel, seen: DataFrame, registry: Registry, folder: RunFolder, at_once: int | None = None, alive: Callable[[], None] = lambda: None) -> DataFrame:
+    """Result rows of one model. Each level's calls are written before their rows are read twice.
+
+    at_once: the calls of a hosted model that this run may make at once, else its whole concurrency. alive() raises if it may make no more.
+    """
     checked, config = prepared.checked, prepared.checked.config
     o, template, walk = checked.ontology, checked.templates[model_id], config.hierarchy.traversal
     positive = model.threshold if isinstance(model, LocalModel) else config.hierarchy.classification.positive_threshold  # a node's own threshold goes before both
     key = scoring.key_column({n.id: n.sha256() for n in o.nodes}, model.version, checked.ontology_hash, sha256([model_id, model.model_dump(mode="json"), config.templates.label_level]), template.sha256)
     cores, parts, share = spark.sparkContext.defaultParallelism, None, None
-    if isinstance(model, HostedModel):  # tasks times threads is at most the model's concurrency
-        parts = min(cores, model.concurrency)
-        share = max(1, model.concurrency // parts)
+    if isinstance(model, HostedModel):  # tasks times threads is at most the calls at once
+        at_once = at_once or model.concurrency
+        parts = min(cores, at_once)
+        share = max(1, at_once // parts)
     make = partial(_make, registry, model_id, model, share)
     columns = ["input_text", "article_input_hash", "original_chars", "submitted_chars", "truncated", "truncation_strategy"]
     journal = staging.Journal(spark, f"{config.output.work_directory.rstrip('/')}/journal/{prepared.digest}/{model_id}")
+
+    def stage(level: DataFrame, depth: int) -> DataFrame:
+        alive()
+        return journal.stage(level, depth)
+
     known = ["prediction_key", "node_id", "child_id", "score", "status", *scoring.TELEMETRY]
     found = [x.select(known) for x in (journal.rows(), folder.read(model_id)) if x is not None]
     scorer = scoring.adapter_scorer(seen.select("article_id", *columns), o, make, template, config.templates.label_level, key, parts, reduce(DataFrame.unionByName, found) if found else None)
     keep = ("prediction_key", "error_code", "original_chars", "submitted_chars", "truncated", "truncation_strategy", *scoring.TELEMETRY)
-    rows = tv.traverse(seen.select("article_id"), o, scorer, traversal=walk.threshold, positive=positive, max_depth=walk.max_depth, max_nodes=walk.max_nodes_per_article, stage=journal.stage, keep=keep)
+    rows = tv.traverse(seen.select("article_id"), o, scorer, traversal=walk.threshold, positive=positive, max_depth=walk.max_depth, max_nodes=walk.max_nodes_per_article, stage=stage, keep=keep)
     rows = rows.select(*tv.COLUMNS, *keep)
     if config.output.materialize_skipped:
         edges = tv.children(spark, o, walk.threshold, positive).select("node_id", "child_id", "traversal_threshold", "local_threshold")

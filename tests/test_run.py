@@ -2,6 +2,9 @@
 
 import json
 import os
+import threading
+import time
+from dataclasses import replace
 from functools import partial
 from pathlib import Path
 
@@ -14,6 +17,7 @@ from branchwise.adapters import models
 from branchwise.adapters.base import ClassificationAdapter, NodeDecision
 from branchwise.control import config as cfg, provenance as pv, run as runs
 from branchwise.control.files import Files
+from branchwise.control.leases import Leases, leased
 from branchwise.operators import traversal as tv
 from branchwise.plans.catalog import fixture
 from branchwise.sinks import results
@@ -278,3 +282,82 @@ class _Other(ClassificationAdapter):
 
 def other_model(folder, name, model):
     return _Other()
+
+
+def test_leases_never_pass_the_slots(spark, tmp_path):
+    files, held, most, lock = Files(spark, str(tmp_path)), [0], [0], threading.Lock()
+
+    def take(wanted):
+        mine = Leases(files, str(tmp_path), ["p", "m"])
+        n = mine.take(wanted)
+        with lock:
+            held[0] += n
+            most[0] = max(most[0], held[0])
+        time.sleep(0.05)
+        with lock:
+            held[0] -= n
+        mine.give_back()
+
+    threads = [threading.Thread(target=take, args=(3,)) for _ in range(12)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert most[0] == 3
+    one, other, apart = (Leases(files, str(tmp_path), ["p", m], stale=1.0) for m in ("m", "m", "n"))
+    assert one.take(2) == 2 and one.take(2) == 2 and other.take(3) == 1 and apart.take(2) == 2
+    with pytest.raises(cfg.ConfigError, match="hold all 2 calls"):
+        with leased(Leases(files, str(tmp_path), ["p", "m"]), 2, "x"):
+            raise AssertionError
+    assert one.renew() and other.renew()
+    time.sleep(1.2)
+    assert other.renew() and other.take(3) == 3 and not one.renew() and one.lost.is_set()  # `one` stood still
+    one.give_back()
+    assert other.renew() and Leases(files, str(tmp_path), ["p", "m"]).take(3) == 0
+    other.give_back()
+    with leased(Leases(files, str(tmp_path), ["p", "m"], stale=0.4), 3, "x") as n:
+        time.sleep(1.0)
+        assert n == 3 and Leases(files, str(tmp_path), ["p", "m"], stale=0.4).take(3) == 0  # renewed meanwhile
+
+
+class Timed(ClassificationAdapter):
+    """Hash scores; notes when each call begins and ends."""
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def classify(self, article, node, context):
+        began = time.time()
+        time.sleep(0.03)
+        with open(f"{self.folder}/calls", "a") as f:
+            f.write(f"{began} {time.time()}\n")
+        return replace(models.HashAdapter(LOCAL_HASH).classify(article, node, context), returned_version=raw_config()["models"]["hosted"]["model"])
+
+
+LOCAL_HASH = cfg.parse(yaml.safe_dump(raw_config(models=ONE))).models["first"]
+
+
+def test_a_run_makes_no_more_calls_at_once_than_others_leave(spark, place, monkeypatch):
+    monkeypatch.setenv("MODEL_API_KEY", "k")
+    hosted = raw_config()["models"]["hosted"] | {"enabled": True, "concurrency": 6}
+    folder, config = place.folder, place(models={"first": hosted})
+    prepared = runs.prepare(spark, runs.validate(config, code=CODE))
+    model, work = config.models["first"], config.output.work_directory
+    others = Leases(Files(spark, work), work, [model.provider, model.model])
+    assert others.take(6) == 6
+    make = lambda name, m: Timed(str(folder))
+    with pytest.raises(cfg.ConfigError, match="hold all 6 calls"):
+        runs.run(spark, prepared, make)
+    assert not (folder / "calls").exists()
+    others.give_back()
+    assert others.take(4) == 4
+    done = runs.run(spark, prepared, make, resume=True)
+    spans = [tuple(map(float, x.split())) for x in (folder / "calls").read_text().splitlines()]
+    moments = sorted([(a, 1) for a, _ in spans] + [(b, -1) for _, b in spans])
+    now = most = 0
+    for _, step in moments:
+        now += step
+        most = max(most, now)
+    assert 1 <= most <= 2 and len(done.read().take(1)) == 1
+    others.give_back()
+    assert Leases(Files(spark, work), work, [model.provider, model.model]).take(6) == 6  # the run has given its own back
