@@ -232,7 +232,7 @@ def classify(spark: SparkSession, prepared: Prepared, model_id: str, model: Host
 
     known = ["prediction_key", "node_id", "child_id", "score", "status", *scoring.TELEMETRY]
     found = [x.select(known) for x in (journal.rows(), folder.read(model_id)) if x is not None]
-    scorer = scoring.adapter_scorer(seen.select("article_id", *columns), o, make, template, config.templates.label_level, key, parts, reduce(DataFrame.unionByName, found) if found else None)
+    scorer = scoring.adapter_scorer(seen.select("article_id", *columns), o, make, template, config.templates.label_level, key, parts, scoring.known(reduce(DataFrame.unionByName, found), o) if found else None)
     keep = ("prediction_key", "error_code", "original_chars", "submitted_chars", "truncated", "truncation_strategy", *scoring.TELEMETRY)
     rows = tv.traverse(seen.select("article_id"), o, scorer, traversal=walk.threshold, positive=positive, max_depth=walk.max_depth, max_nodes=walk.max_nodes_per_article, stage=stage, keep=keep)
     rows = rows.select(*tv.COLUMNS, *keep)

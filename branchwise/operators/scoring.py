@@ -64,26 +64,36 @@ def key_column(node_hashes: dict[str, str], model_version: str, ontology_hash: s
     return prediction_key(F.lit(model_version), F.col("article_input_hash"), F.element_at(node, F.col("node_id")), F.lit(ontology_hash), F.lit(model_config_hash), F.lit(template_hash))
 
 
-def adapter_scorer(inputs: DataFrame, o: Ontology, make: Callable[[], ClassificationAdapter], template: Template, level: int, key: Column, parts: int | None = None, prior: DataFrame | None = None):
+def known(prior: DataFrame, o: Ontology) -> DataFrame:
+    """The calls that succeeded for every child in rows of earlier results or journals: a row a call, with its decision."""
+    children = F.create_map(*[F.lit(x) for n in o.nodes if n.children for x in (n.id, len(n.children))])
+    by = [c for c in ("article_id", "prediction_key", "node_id") if c in prior.columns]
+    good = prior.where((F.col("status") == "SUCCESS") & F.col("score").isNotNull())
+    calls = good.groupBy(*by).agg(F.collect_list(F.struct("child_id", "score")).alias("found"), F.max(F.struct(*TELEMETRY)).alias("t"))
+    first = lambda c: F.struct(c.alias("child_id"), F.filter("found", lambda x: x["child_id"] == c)[0]["score"].alias("score"))  # noqa: E731  a row may stand in journal and results
+    calls = calls.withColumn("scores", F.map_from_entries(F.transform(F.array_distinct("found.child_id"), first)))
+    calls = calls.where(F.size("scores") == F.element_at(children, F.col("node_id")))
+    return calls.select(*by[:-1], "scores", F.lit("SUCCESS").alias("call_status"), F.lit(None).cast("string").alias("error_code"), *[F.col(f"t.{k}").alias(k) for k in TELEMETRY])
+
+
+def adapter_scorer(inputs: DataFrame, o: Ontology, make: Callable[[], ClassificationAdapter], template: Template, level: int, key: Column, parts: int | None = None, reuse: DataFrame | None = None):
     """A scorer by node for traverse(). inputs: article_id, input_text, article_input_hash, original_chars and so on.
 
-    Text is joined once at each level and ends in the adapter; what else a row
-    carries goes through with it. prior: rows of earlier results or journals; a
-    call that succeeded there for every child is not made again. Calls are dealt
-    to `parts` tasks, which with the adapter's own concurrency bounds how many
-    run at once.
+    Text is joined once at each level, to the calls that are made, and ends in
+    the adapter; what else a row carries goes through with it. reuse: known()
+    calls, which are not made again; they are found by prediction_key, of the
+    same article where they name it. Calls are dealt to `parts` tasks, which
+    with the adapter's own concurrency bounds how many run at once.
     """
-    children = F.create_map(*[F.lit(x) for n in o.nodes if n.children for x in (n.id, len(n.children))])
 
     def score(front: DataFrame) -> DataFrame:
-        calls = front.join(inputs, "article_id").withColumn("prediction_key", key)
-        if prior is None:
+        seen = inputs if reuse is None else inputs.drop("input_text")
+        calls = front.join(seen, "article_id").withColumn("prediction_key", key).drop("article_input_hash")
+        if reuse is None:
             return decisions(_dealt(calls, parts), o, make, template, level)
-        good = prior.where((F.col("status") == "SUCCESS") & F.col("score").isNotNull()).dropDuplicates(["prediction_key", "child_id"])
-        known = good.groupBy("prediction_key", "node_id").agg(F.map_from_entries(F.collect_list(F.struct("child_id", "score"))).alias("scores"), F.max(F.struct(*TELEMETRY)).alias("t"))
-        known = known.where(F.size("scores") == F.element_at(children, F.col("node_id"))).select("prediction_key", "scores", F.lit("SUCCESS").alias("call_status"), F.lit(None).cast("string").alias("error_code"), *[F.col(f"t.{k}").alias(k) for k in TELEMETRY])
-        made = decisions(_dealt(calls.join(known.select("prediction_key"), "prediction_key", "left_anti").select(calls.columns), parts), o, make, template, level)
-        return made.unionByName(calls.drop("input_text").join(known, "prediction_key"))
+        both = calls.join(reuse, [c for c in ("article_id", "prediction_key") if c in reuse.columns], "left")
+        new = both.where("call_status IS NULL").select(calls.columns).join(inputs.select("article_id", "input_text"), "article_id")
+        return decisions(_dealt(new, parts), o, make, template, level).unionByName(both.where("call_status IS NOT NULL"))
 
     score.by_node = True
     return score

@@ -162,6 +162,7 @@ def traverse(articles: DataFrame, o: Ontology, scorer: Scorer, *, traversal: flo
             ranks = {"turn": F.row_number().over(each.orderBy("place")) + F.col("seen"), "seen": F.col("seen") + F.count("*").over(each).cast("int")}
             front = front.join(places, "node_id").withColumns(ranks).where(F.col("turn") <= max_nodes).drop("turn", "place")
         level = _level(front, scorer, edges, kids, ranked).withColumn("path_score", F.col("above") * F.col("score"))
+        level = level.select(*COLUMNS, "child_type", *keep, *["seen"] * bool(max_nodes))
         level = stage(level, depth) if stage else level
         levels.append(level)
         depth += 1

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from branchwise.adapters import models
 from branchwise.adapters.base import RateLimited, with_retries
 from branchwise.control import config, provenance
+from branchwise.control.files import Files
 from branchwise.functions import text
 from branchwise.operators import scoring, staging, traversal as tv
 from branchwise.sinks import results
@@ -297,15 +298,28 @@ class _Flaky(models.HashAdapter):
 MODEL = config.LocalModel(adapter="hash", enabled=True, provider="none", model="hash", revision="0000000", device="cpu", batch_size=32, threshold=0.5)
 
 
-def _results(s, d, make=partial(models.HashAdapter, MODEL), prior=None):
-    """Result rows of an adapter over all articles."""
-    inputs = build_inputs(s, d).join(_articles(s, d), "doc_id").drop("doc_id")
-    inputs = staging.stager(s)(inputs, 0)
+def _inputs(s, d) -> DataFrame:
+    """What models see of each article: the text of its smallest doc_id, normalized once."""
+    raw = src.from_documents(s, d).where("doc_id IS NOT NULL")
+    parts = raw.select("doc_id", "date", text.normalize(F.col("headline")).alias("h"), text.normalize(F.col("article")).alias("a"))
+    made = parts.select("doc_id", text.article_id(F.col("h"), F.col("date"), F.col("a")).alias("article_id"), text.model_input(F.col("h"), F.col("a"), "\n\n", "headline_plus_article").alias("t"))
+    made = made.select("article_id", F.struct("doc_id", *[c.alias(k) for k, c in text.truncation(F.col("t"), 12000).items()]).alias("i"))
+    return made.groupBy("article_id").agg(F.min("i").alias("i")).select("article_id", "i.*").drop("doc_id").withColumn("article_input_hash", F.sha2("input_text", 256))
+
+
+def _classified(s, inputs, stage, make=partial(models.HashAdapter, MODEL), reuse=None):
+    """Result rows of an adapter over inputs that are bucketed by article: their texts are never shuffled."""
     template = templates.load(str(DATA / "templates"), "hash", "v1")
     key = scoring.key_column({n.id: n.sha256() for n in fixture().nodes}, MODEL.version, "ontology-1", "config-1", "template-1")
     keep = ("prediction_key", "error_code", "original_chars", "submitted_chars", "truncated", "truncation_strategy", *scoring.TELEMETRY)
-    scorer = scoring.adapter_scorer(inputs, fixture(), make, template, 3, key, prior=prior)
-    return tv.traverse(inputs.select("article_id"), fixture(), scorer, **HIERARCHY, stage=staging.stager(s), keep=keep).withColumn("model_id", F.lit("hash"))
+    scorer = scoring.adapter_scorer(inputs, fixture(), make, template, 3, key, reuse=reuse)
+    return tv.traverse(inputs.select("article_id"), fixture(), scorer, **HIERARCHY, stage=stage, keep=keep).withColumn("model_id", F.lit("hash"))
+
+
+def _results(s, d, make=partial(models.HashAdapter, MODEL)):
+    """Result rows of an adapter over all articles."""
+    with staging.keyed(_inputs(s, d), "article_id") as inputs:
+        return _classified(s, inputs, staging.stager(s), make)
 
 
 RESULT = [*WALK, "task_root", "model_id", "local_threshold", "traversal_threshold", "original_chars", "submitted_chars", "truncated", "truncation_strategy", "status", "error_code", "prediction_key"]
@@ -316,9 +330,20 @@ def result_rows(s, d):
 
 
 def resume_union(s, d):
-    """A run that stopped half way and is resumed: rows taken over and rows made anew are the whole run's."""
-    stored = _results(s, d).where(text.hash_score(F.col("article_id"), F.lit("stored")) < 0.5)
-    return _results(s, d, make=partial(models.HashAdapter, MODEL), prior=stored).select(*RESULT)
+    """A run that stopped half way and is resumed: rows taken over and rows made anew are the whole run's.
+
+    The stopped run has come as far as the articles whose rows are stored. What
+    nothing reads any more goes: its levels once its calls are known, the texts
+    once the last level is written.
+    """
+    with staging.keyed(_inputs(s, d), "article_id") as inputs:
+        stopped, stage = staging.stager(s), staging.stager(s)
+        try:
+            stored = _classified(s, inputs.where(text.hash_score(F.col("article_id"), F.lit("stored")) < 0.5), stopped)
+            reuse = stage(scoring.known(stored, fixture()), -1)
+        finally:
+            Files(s, stopped.root).delete(stopped.root)
+        return _classified(s, inputs, stage, reuse=reuse).select(*RESULT)
 
 
 def key_uniqueness(s, d):
