@@ -138,26 +138,29 @@ def _anchors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The bytes of fragments; of hot ones, two hashes of each window."""
-    names = ["anchor", "mark", "bytes", "id", "start"]
+    """The bytes of fragments; of hot ones, two hashes of each window.
+
+    Both kinds have frames of their own: a missing hash among others would make them floats and round them.
+    """
     for frame in frames:
-        rows = []
-        for id_, text, places, anchors, hot in zip(*[frame[c] for c in ("id", "text", "at", "anchor", "hot")], strict=True):
-            raw = text.encode()
-            for at, a, h in zip(places, anchors, hot, strict=True):
-                s, n = int(at) >> 8, int(at) & 255
-                piece = raw[s : s + n + LENGTH - 1]
-                if h:
-                    part, k = np.frombuffer(piece, np.uint8), np.arange(n)
-                    one, two = (_spans(_sums(part, t), k, k + LENGTH) for t in (_TABLE, _MARKS))
-                    rows += [(x, y, None, id_, s + i) for i, (x, y) in enumerate(zip(one.tolist(), two.tolist(), strict=True))]
-                else:
-                    rows.append((a, None, piece, id_, s))
-            if len(rows) > 20_000:
-                yield pd.DataFrame(rows, columns=names).astype({"mark": "Int64"})
-                rows = []
-        if rows:
-            yield pd.DataFrame(rows, columns=names).astype({"mark": "Int64"})
+        for low in range(0, len(frame), 200):
+            part = frame.iloc[low : low + 200]
+            raws, ids = [t.encode() for t in part["text"]], part["id"].to_numpy(np.int64)
+            every = np.repeat(np.arange(len(part)), [len(a) for a in part["at"]])
+            cols = [np.concatenate(part[c].tolist()) for c in ("at", "anchor", "hot")]
+            for k in range(0, len(every), 2000):
+                who, at, anchor, hot = every[k : k + 2000], *(c[k : k + 2000] for c in cols)
+                start, n = at >> 8, at & 255
+                pieces = np.array([raws[w][s : s + c + LENGTH - 1] for w, s, c in zip(who.tolist(), start.tolist(), n.tolist(), strict=True)] + [None], object)[:-1]
+                hot = hot.astype(bool)
+                if not hot.all():
+                    yield pd.DataFrame({"anchor": anchor[~hot], "mark": np.int64(0), "bytes": pieces[~hot], "id": ids[who[~hot]], "start": start[~hot]})
+                if hot.any():
+                    who, start, n, flat = who[hot], start[hot], n[hot], np.frombuffer(b"".join(pieces[hot]), np.uint8)
+                    ramp = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    at = np.repeat(np.cumsum(n + LENGTH - 1) - n - LENGTH + 1, n) + ramp
+                    one, two = (_spans(_sums(flat, t), at, at + LENGTH) for t in (_TABLE, _MARKS))
+                    yield pd.DataFrame({"anchor": one, "mark": two, "bytes": None, "id": np.repeat(ids[who], n), "start": np.repeat(start, n) + ramp})
 
 
 def _may_repeat(strings: list[bytes], anchors: np.ndarray) -> np.ndarray:

@@ -1,6 +1,9 @@
 import hashlib
 import random
 
+import numpy as np
+import pandas as pd
+
 from branchwise.llm import repeats as r
 
 
@@ -56,3 +59,17 @@ def test_one_id_with_several_texts(spark):
     assert len(got) == 6
     assert all(x.n_removed == 300 for x in got if x.doc_id is None)
     assert sorted(x.n_removed > 0 for x in got if x.doc_id == 1) in ([False, False, True], [False, True, True])
+
+
+def test_hashes_of_hot_windows_are_whole_beside_other_fragments():
+    """Windows of one text have the same 64-bit hashes, whatever else stands in their frame."""
+    text = "".join(random.Random(3).choices("abcdefgh", k=400))
+
+    def marks(hot):
+        frame = pd.DataFrame({"id": [5], "text": [text], "at": [np.array([0 << 8 | 3, 120 << 8 | 4])], "anchor": [np.array([11, 12])], "hot": [np.array(hot)]})
+        cut = list(r._cut(iter([frame])))
+        return [(int(s), int(a), int(m)) for f in cut for s, a, m, b in zip(f["start"], f["anchor"], f["mark"], f["bytes"]) if b is None], sum(int(f["bytes"].notna().sum()) for f in cut)
+
+    alone, mixed = marks([True, True]), marks([True, False])
+    assert len(set(alone[0])) == 7 and alone[1] == 0
+    assert mixed == (alone[0][:3], 1)
