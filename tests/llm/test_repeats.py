@@ -64,12 +64,57 @@ def test_one_id_with_several_texts(spark):
 def test_hashes_of_hot_windows_are_whole_beside_other_fragments():
     """Windows of one text have the same 64-bit hashes, whatever else stands in their frame."""
     text = "".join(random.Random(3).choices("abcdefgh", k=400))
-
-    def marks(hot):
-        frame = pd.DataFrame({"id": [5], "text": [text], "at": [np.array([0 << 8 | 3, 120 << 8 | 4])], "anchor": [np.array([11, 12])], "hot": [np.array(hot)]})
-        cut = list(r._cut(iter([frame])))
-        return [(int(s), int(a), int(m)) for f in cut for s, a, m, b in zip(f["start"], f["anchor"], f["mark"], f["bytes"]) if b is None], sum(int(f["bytes"].notna().sum()) for f in cut)
-
-    alone, mixed = marks([True, True]), marks([True, False])
-    assert len(set(alone[0])) == 7 and alone[1] == 0
-    assert mixed == (alone[0][:3], 1)
+    _, anchor, _, start, n = r.fragments([text.encode()])
+
+    def hashes(hot):
+        frame = pd.DataFrame({"id": [5], "text": [text], "at": [start[:2] << 8 | n[:2]], "anchor": [anchor[:2]], "hot": [np.array(hot)]})
+        cut = pd.concat(list(r._cut(iter([frame]))))
+        blocks = cut[cut["hot"]]
+        windows = pd.concat(list(r._windows(iter([blocks]))))
+        return [list(zip(*[f[c].tolist() for c in ("start", "anchor", "mark")])) for f in (blocks, windows)], int((~cut["hot"]).sum())
+
+    (blocks, windows), others = hashes([True, True])
+    assert others == 0 and [w[0] for w in windows] == list(range(n[0] + n[1])) and len(set(windows)) == len(windows)
+    (some, first), others = hashes([True, False])
+    assert others == 1 and first == windows[: n[0]] and some == [b for b in blocks if b[0] < n[0]]
+
+
+def test_only_suffixes_that_hold_a_window_are_sorted(monkeypatch):
+    """Suffixes too short for a window are never built: each of the others enters as many rounds before the last as it has symbols."""
+    rng = random.Random(4)
+    strings = ["".join(rng.choices("ab", k=rng.randrange(90, 177))).encode() for _ in range(40)]
+    every = [(w, s) for w, s in zip(*(x.tolist() for x in r.suffix_order(strings))) if len(strings[w]) - s >= 100]
+    sorted_symbols, argsort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda x, **kw: sorted_symbols.append(len(x)) or argsort(x, **kw))
+    assert list(zip(*(x.tolist() for x in r.suffix_order(strings, 100)))) == every
+    assert sum(sorted_symbols) == sum(len(strings[w]) - s for w, s in every)
+
+
+def test_fragments_of_several_texts_are_those_of_each(monkeypatch):
+    rng = random.Random(6)
+    raws = ["".join(rng.choices("abcdé ", k=rng.randrange(700))).encode() for _ in range(60)] + [b"a" * 5000, b"ab" * 300, b"", b"x" * 99, b"a" * 100]
+    for batch, piece in ((1 << 16, 1 << 20), (500, 1 << 20), (2000, 150)):
+        monkeypatch.setattr(r, "BATCH", batch)
+        monkeypatch.setattr(r, "PIECE", piece)
+        got = r.fragments(raws)
+        alone = [r.fragments([raw]) for raw in raws]
+        assert got[0].tolist() == [k for k, a in enumerate(alone) for _ in a[1]]
+        for column in range(1, 5):
+            assert got[column].tolist() == [x for a in alone for x in a[column].tolist()]
+        anchors = {}
+        for text, anchor, start, n in zip(got[0].tolist(), got[1].tolist(), got[3].tolist(), got[4].tolist()):
+            assert 1 <= n <= r.LENGTH - r.ANCHOR + 1
+            assert all(anchors.setdefault(raws[text][k : k + 100], anchor) == anchor for k in range(start, start + n))
+        assert sum(got[4].tolist()) == sum(max(0, len(raw) - 99) for raw in raws)
+
+
+def test_hot_fragments_repeat_in_blocks():
+    """Fragments that share most windows share most blocks, wherever they begin: few windows are left to compare singly."""
+    text = "".join(random.Random(8).choices("abcdefgh", k=3000)).encode()
+    _, anchor, _, start, n = r.fragments([text])
+    k = int(np.argmax(n))
+    whole = [(text[start[k] + i : start[k] + n[k] + 99], n[k] - i) for i in range(0, 30, 3)]
+    of, first, size, one, two = r._blocks_of(np.frombuffer(b"".join(p for p, _ in whole), np.uint8), np.array([m for _, m in whole]), np.full(len(whole), anchor[k]))
+    assert all(size[of == f].sum() == m for f, (_, m) in enumerate(whole)) and size.max() == r.STEP
+    different = len({(a, b) for a, b in zip(one.tolist(), two.tolist())})
+    assert different <= -(-n[k] // r.STEP) + 1 + len(whole)
