@@ -7,7 +7,7 @@ known by two 64-bit hashes, anchor and mark, and equal ones merge: all but the
 first are removed. Only anchors with several fragments can hide further
 repeats; the bytes of those fragments are dealt by anchor to bounded buckets.
 In a bucket, fragments that agree with no other near their anchor are left
-aside, and the sorted suffixes of the others grow by one symbol a fragment
+aside, and the sorted suffixes of the others grow by one symbol a suffix
 and round: the next order is the stable sort of the last one by the symbols
 before its suffixes (its BWT), read and written front to back. Neighbours that
 agree in 100 bytes repeat, and all but the earliest are removed.
